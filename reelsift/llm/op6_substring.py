@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reelsift.llm.fingerprint_log import FingerprintLog, bitmap, in_bitmap
 from reelsift.llm.words import BLANKS, as_bytes, inside, moving, slices, tokens, window_hashes
@@ -149,11 +150,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     each = each.select("sample", "k1", "k2", F.col("w.spans").alias("span"), F.col("w.fps").alias("fp"), F.col("w.ns").alias("n"))
     again = each.withColumn("n", F.sum("n").over(Window.partitionBy("sample", "fp"))).where("n >= 2")
     spans = again.groupBy("k1", "k2").agg(F.collect_list("span").alias("_spans"))
-    names = [c for c in docs.columns if c != text]
     whole = docs.select(*docs.columns, k1.alias("_k1"), k2.alias("_k2")).join(spans, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
-    schema = docs.select(*docs.columns).schema
     out = whole.select(*docs.columns, F.col(text).alias("_text"), "_spans")
-    for name, kind in (("n_words", "long"), ("n_removed", "long"), ("kept", "string")):
-        schema = schema.add(name, kind)
-    del names
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL("n_words long, n_removed long, kept string").fields])
     return out.mapInArrow(lambda it: _kept_batches(it, width), schema)
