@@ -7,20 +7,77 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelsift.llm.op2_mixing import mix_sources
+from reelsift.llm.op3_decontamination import find_leaks
+from reelsift.llm.op5_token_files import token_index
 from reelsift.llm.op6_substring import remove_repeats
+from reelsift.llm.op9_html import extract_pages
+from reelsift.llm.op10_chat import digests, format_conversations
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    n = F.size("items").cast("long")
+    return out.select("doc_id", "n_words", "n_hit", n.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= 2).alias("contaminated"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index(_table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_pages(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    hard = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(said).alias("text"))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return digests(format_conversations(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_source_mix": op2_source_mix,
+    "op3_decontamination": op3_decontamination,
+    "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
+    "op9_html_text": op9_html_text,
+    "op10_chat_format": op10_chat_format,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Turns as they are rendered: escaped where they hold a control string or a backslash.
+_TURNS = r"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+), shown as (
+  select *, case when regexp_matches(role || chr(10) || text, '\\|<s>|</s>|\[INST\]|\[/INST\]') then length(regexp_replace(replace(role || text, chr(92), chr(92) || chr(92)),
+    '(<|\[)(s>|/s>|INST\]|/INST\])', '\1\\\2', 'g')) else length(role || text) end + 17 as chars from said
+)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op10_chat_format": _TURNS
+    + """
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256, (3 + sum(chars))::bigint as formatted_chars
+from shown group by conv_id
+""",
+}
