@@ -9,9 +9,13 @@ lost executor's half-written files are never seen. ``part`` and ``seq`` give the
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -87,21 +91,56 @@ class TokenImage:
         return np.concatenate(some)[start - first * self.block_ids : stop - first * self.block_ids]
 
 
-_loaded: dict[str, Tokenizer] = {}
+#: Where a text is cut: before each run of blanks. White space outside ASCII is looked at by the library alone.
+_CHUNK = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
+_RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Chunks whose ids are remembered at once.
+_MEMORY = 300_000
 
 
-def _tokenizer(path: str) -> Tokenizer:
+class Encoder:
+    """Ids of whole texts from a tokenizers file.
+
+    A byte-level tokenizer that adds no blank never joins a word with the blanks after it, so a text's ids are those of
+    its chunks (blanks and the word after them), and the library encodes each distinct chunk once. Texts with white
+    space outside ASCII or with a special string, and all texts of other tokenizers, are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
+        self.library = Tokenizer.from_file(path)
+        file = json.loads(self.library.to_str())
+        before = file.get("pre_tokenizer") or {}
+        self.cuts = not file.get("normalizer") and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        self.special = [x["content"] for x in file.get("added_tokens", [])]
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def encode(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
+        """The ids of each text and the end id."""
+        whole = [not self.cuts or bool(_RARE.search(x)) or any(y in x for y in self.special) for x in texts]
+        chunks = [None if w else _CHUNK.findall(x) for x, w in zip(texts, whole, strict=True)]
+        if len(self.known) > _MEMORY:
+            self.known.clear()
+        new = [*{x for own in chunks if own for x in own}.difference(self.known)]
+        for x, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.known[x] = tuple(found.ids)
+        for text, own in zip(texts, chunks, strict=True):
+            ids = self.library.encode(text, add_special_tokens=False).ids if own is None else chain.from_iterable(map(self.known.__getitem__, own))
+            yield np.fromiter(chain(ids, (end,)), np.uint32)
+
+
+_loaded: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
     if path not in _loaded:
-        _loaded[path] = Tokenizer.from_file(path)
+        _loaded[path] = Encoder(path)
     return _loaded[path]
 
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
-    tokenizer = _tokenizer(path)
-    bits, part, seq = bits_for(tokenizer.get_vocab_size()), TaskContext.get().partitionId(), 0
+    encoder = _encoder(path)
+    bits, part, seq = bits_for(encoder.library.get_vocab_size()), TaskContext.get().partitionId(), 0
     keys: list[int | None] = []
     lengths: list[int] = []
     held: list[np.ndarray] = []
@@ -114,8 +153,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[
     for batch in batches:
         own_keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
         for a, b in slices(texts):
-            for key, encoded in zip(own_keys[a:b], tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False), strict=True):
-                ids = np.array([*encoded.ids, end], np.uint32)
+            for key, ids in zip(own_keys[a:b], encoder.encode(texts[a:b], end), strict=True):
                 keys.append(key)
                 lengths.append(len(ids))
                 held.append(ids)
