@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelsift.llm.op1_quality import graded, score, train
 from reelsift.llm.op2_mixing import mix_sources
 from reelsift.llm.op3_decontamination import find_leaks
 from reelsift.llm.op5_token_files import token_index
 from reelsift.llm.op6_substring import remove_repeats
+from reelsift.llm.op7_minhash import near_duplicates
 from reelsift.llm.op9_html import extract_pages
 from reelsift.llm.op10_chat import digests, format_conversations
 
@@ -19,6 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = score(docs, train(docs, graded(_table(spark, sf_dir, "labels"))))
+    return out.select("doc_id", "expected_grade", "tail_probability", "keep")
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -39,6 +47,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = extract_pages(_table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
@@ -53,10 +65,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_source_mix": op2_source_mix,
     "op3_decontamination": op3_decontamination,
     "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_minhash": op7_minhash,
     "op9_html_text": op9_html_text,
     "op10_chat_format": op10_chat_format,
 }
