@@ -1,8 +1,59 @@
-"""The corpus pipeline: quality, near copies, benchmark leaks, source mix, token ids."""
+"""The corpus pipeline: quality, near copies, benchmark leaks, source mix, token ids.
 
-STAGES = []
+Each stage works on all that the one before it kept. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reelsift.llm import op1_quality, op2_mixing, op3_decontamination, op5_token_files, op7_minhash
+from reelsift.shared import written
+
+#: A text with so many words inside benchmark windows holds a passage, and goes; fewer are cut out of it.
+PASSAGE_WORDS = 16
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out the documents that the quality classifier, fitted on the rated ones, rejects."""
+    model = op1_quality.train(docs, op1_quality.graded(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return op1_quality.score(docs, model).where("keep").select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the least id of each group of near copies."""
+    return op7_minhash.keep_one(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out documents that hold a benchmark passage, and cuts shorter runs of benchmark words out of the others."""
+    found = op3_decontamination.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.col("n_hit") < PASSAGE_WORDS)
+    cut = {"text": F.col("clean"), "n_chars": F.when(F.col("n_hit") > 0, F.length("clean").cast("long")).otherwise(F.col("n_chars"))}
+    return found.withColumns(cut).select(*docs.columns)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats or leaves out documents until each source is near its target."""
+    return op2_mixing.mixed(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token files and returns their index, read back from them."""
+    return op5_token_files.token_index(docs)
+
+
+STAGES = [("quality classifier", quality), ("MinHash near-dedup", near_copies), ("benchmark decontamination", benchmark_leaks), ("mixing sources to target weights", source_mix), ("token-ID / binary output", token_files)]
+
+#: SQL can't express the classifier, so the pipeline is tested stage by stage.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; what each returns is written as Parquet and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = written(docs, f"stage{i + 1}")
+    return docs
