@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelsift.llm.op1_quality import graded, score, train
 from reelsift.llm.op2_mixing import mix_sources
 from reelsift.llm.op3_decontamination import find_leaks
+from reelsift.llm.op4_lines import line_report
 from reelsift.llm.op5_token_files import token_index
 from reelsift.llm.op6_substring import remove_repeats
 from reelsift.llm.op7_minhash import near_duplicates
@@ -38,6 +39,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", n.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= 2).alias("contaminated"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("h")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_index(_table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_source_mix": op2_source_mix,
     "op3_decontamination": op3_decontamination,
+    "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_minhash": op7_minhash,
