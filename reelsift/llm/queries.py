@@ -14,6 +14,7 @@ from reelsift.llm.op4_lines import line_report
 from reelsift.llm.op5_token_files import token_index
 from reelsift.llm.op6_substring import remove_repeats
 from reelsift.llm.op7_minhash import near_duplicates
+from reelsift.llm.op8_images import copy_search
 from reelsift.llm.op9_html import extract_pages
 from reelsift.llm.op10_chat import digests, format_conversations
 
@@ -56,6 +57,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copy_search(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = extract_pages(_table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_minhash": op7_minhash,
+    "op8_image_copies": op8_image_copies,
     "op9_html_text": op9_html_text,
     "op10_chat_format": op10_chat_format,
 }
