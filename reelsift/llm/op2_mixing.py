@@ -52,13 +52,14 @@ def _ranked(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
 def _inside(cell: Column, rank: Column, h: Column) -> Column:
     at_cut = (F.col("_cell") == cell) & ((F.col("_rank") < rank) | ((F.col("_rank") == rank) & (F.col("_h") <= h)))
-    return F.coalesce(F.col("_rank").isNotNull() & ((F.col("_cell") < cell) | at_cut), F.lit(False))
+    return F.coalesce(F.col("_rank").isNotNull() & (F.col("_size") <= F.col("_fit")) & ((F.col("_cell") < cell) | at_cut), F.lit(False))
 
 
 def _cuts(ranked: DataFrame) -> DataFrame:
     """Where each source stops in rank, and how many words are still missing there."""
     need = F.col("target") - F.col("source_size") * F.floor(F.col("target") / F.col("source_size"))
-    rows = ranked.where("_rank is not null").withColumn("_need", need)
+    # a document larger than what is needed can't be taken, and must not stop the others
+    rows = ranked.where("_rank is not null").withColumn("_need", need).where("_size <= _need")
     cells = rows.groupBy("_s", "_cell", "_need").agg(F.sum("_size").alias("_words"))
     upto = Window.partitionBy("_s").orderBy("_cell")
     cells = cells.withColumn("_before", F.sum("_words").over(upto) - F.col("_words"))
@@ -72,7 +73,7 @@ def _cuts(ranked: DataFrame) -> DataFrame:
     out = cut.join(stop, cut["_t"].eqNullSafe(stop["_u"]), "left")
     return out.select(
         F.col("_t"), F.col("_cut"), F.coalesce("_stop._rank", F.lit(-1.0)).alias("_cut_rank"), F.coalesce("_stop._h", F.lit(0)).alias("_cut_h"),
-        (F.col("_want") - F.coalesce("_stop._upto", "_before")).alias("_missing"), F.array().cast("array<long>").alias("_more"),
+        F.col("_want").alias("_fit"), (F.col("_want") - F.coalesce("_stop._upto", "_before")).alias("_missing"), F.array().cast("array<long>").alias("_more"),
     )
 
 
@@ -84,7 +85,7 @@ def _filled(ranked: DataFrame, cuts: DataFrame) -> DataFrame:
     best = rows.groupBy(F.col("_s").alias("_u")).agg(F.min(F.struct(F.abs(F.col("_size") - F.col("_missing")).alias("off"), "_rank", "_h", "_size")).alias("_b"))
     out = cuts.join(best, cuts["_t"].eqNullSafe(best["_u"]), "left")
     more = F.when(F.col("_b").isNotNull(), F.concat("_more", F.array("_b._h"))).otherwise(F.col("_more"))
-    return out.select("_t", "_cut", "_cut_rank", "_cut_h", (F.col("_missing") - F.coalesce("_b._size", F.lit(0))).alias("_missing"), more.alias("_more"))
+    return out.select("_t", "_cut", "_cut_rank", "_cut_h", "_fit", (F.col("_missing") - F.coalesce("_b._size", F.lit(0))).alias("_missing"), more.alias("_more"))
 
 
 def mix_sources(
@@ -95,8 +96,8 @@ def mix_sources(
 
     ``size`` counts the words of the text (null: 0). Sources in code point order, null last, get the weights in turn and
     share ``total`` times all words, none above ``most`` times its own. A document is taken ``copies`` times, so
-    ``taken`` = ``copies`` x ``size``, at most ``most`` times its size rounded up. Each source's words stay short of its
-    target by less than a document, and up to ``fills`` documents that bring it nearest are added. Random numbers come
+    ``taken`` = ``copies`` x ``size``, at most ``most`` times its size rounded up. Documents that fit are taken in rank until one
+    would pass the target, and up to ``fills`` documents that bring it nearest are added. Random numbers come
     from key, text and ``seed``, so reruns agree and repeated rows are taken alike. Empty texts count 0 words. Columns
     with the names above are replaced. An empty table gives an empty table.
     """
