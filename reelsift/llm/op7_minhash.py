@@ -23,6 +23,8 @@ WORDS = 5
 SIMILARITY = 0.8
 #: Bands of rows: a pair at similarity 0.8 shares a band with probability 0.9998.
 BANDS, ROWS = 16, 4
+#: Rounds of leaders, and texts in a bucket that is compared throughout.
+ROUNDS, FEW = 4, 12
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -137,37 +139,48 @@ def near_classes(
 ) -> DataFrame:
     """``(t, root)``: the hash (MD5) of each distinct text with a near copy, and of its class's least text.
 
-    In a band's bucket every text is compared with the least one of similar length. Texts of a bucket that are then in
-    different classes are compared with each other, so no candidate pair is left out; pairs in one class need no look.
+    In each round, a band's bucket has a leader, the text that meets most others over all its buckets and is not in the
+    class of an earlier leader, and all texts of other classes and of similar length are compared with it. So a round
+    costs as many comparisons as buckets have members. Buckets of at most ``FEW`` texts are compared throughout.
     """
     found = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.md5(text).alias("t"))
     signed = found.mapInArrow(lambda it: _sign_batches(it, words, bands, rows), "t string, n long, bands array<long>")
     signed = signed.where("n > 0").groupBy("t").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
     each = signed.select("t", "n", F.explode("bands").alias("band"))
-    full = each.groupBy("band").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("t", "n")).alias("lead")).where("k > 1")
-    full = full.select(F.col("band").alias("o"), "k", F.col("lead.t").alias("a"), F.col("lead.n").alias("an"))
-    member = written(each.join(full, F.col("band") == F.col("o")).select("band", "k", "t", "n", "a", "an"), "buckets")
+    full = each.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("band").alias("o"), "k")
+    member = written(each.join(full, F.col("band") == F.col("o")).select("band", "k", "t", "n"), "buckets")
+    met = written(member.groupBy(F.col("t").alias("w")).agg(F.sum("k").alias("met")), "met")
+    member = written(member.join(met, F.col("t") == F.col("w")).select("band", "k", "t", "n", "met"), "members")
+    texts = written(found.join(met.select("w"), F.col("t") == F.col("w"), "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
     similar = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
-    star = member.where((F.col("a") != F.col("t")) & similar(F.col("n"), F.col("an"))).select("a", F.col("t").alias("b")).distinct()
-    # texts of candidates, each once
-    wanted = member.select(F.col("t").alias("w")).distinct()
-    texts = found.join(wanted, F.col("t") == F.col("w"), "left_semi").groupBy("t").agg(F.first("text").alias("text"))
-    texts = written(texts, "texts")
-    links = written(_verified(star, texts, words, least), "links")
-    roots = components(links)
-    # buckets that still hold several classes: compare across them
-    classed = member.join(roots, F.col("t") == F.col("node"), "left").select("band", "t", "n", F.coalesce("root", "t").alias("root"))
-    split = classed.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select(F.col("band").alias("o"))
-    rest = written(classed.join(split, F.col("band") == F.col("o"), "left_semi"), "rest")
-    other = rest.select(F.col("band").alias("band2"), F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
-    cross = rest.join(other, (F.col("band") == F.col("band2")) & (F.col("t") < F.col("t2")) & (F.col("root") != F.col("root2")) & similar(F.col("n"), F.col("n2")))
-    cross = written(cross.select(F.col("t").alias("a"), F.col("t2").alias("b")).distinct().join(star, ["a", "b"], "left_anti"), "cross")
-    if cross.isEmpty():
-        return roots.select(F.col("node").alias("t"), "root")
-    more = written(_verified(cross, texts, words, least), "more")
-    if more.isEmpty():
-        return roots.select(F.col("node").alias("t"), "root")
-    return components(links.unionByName(more)).select(F.col("node").alias("t"), "root")
+    classed = member.withColumn("root", F.col("t"))
+    links = leaders = roots = None
+    for turn in range(ROUNDS):
+        free = classed if leaders is None else classed.join(leaders.join(roots, F.col("lt") == F.col("node"), "left").select(F.col("lb").alias("ub"), F.coalesce("root", "lt").alias("ur")), (F.col("band") == F.col("ub")) & (F.col("root") == F.col("ur")), "left_anti")
+        lead = free.groupBy(F.col("band").alias("lb")).agg(F.max(F.struct("met", "t", "n", "root")).alias("l")).select("lb", F.col("l.t").alias("lt"), F.col("l.n").alias("ln"), F.col("l.root").alias("lr"))
+        lead = written(lead, "leaders")
+        apart = classed.join(lead, F.col("band") == F.col("lb")).where((F.col("root") != F.col("lr")) & similar(F.col("n"), F.col("ln")))
+        pairs = apart.select(F.least("t", "lt").alias("a"), F.greatest("t", "lt").alias("b")).distinct()
+        if turn == 1:
+            few = classed.where(F.col("k") <= FEW)
+            other = few.select(F.col("band").alias("band2"), F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
+            some = few.join(other, (F.col("band") == F.col("band2")) & (F.col("t") < F.col("t2")) & (F.col("root") != F.col("root2")) & similar(F.col("n"), F.col("n2")))
+            pairs = pairs.unionByName(some.select(F.col("t").alias("a"), F.col("t2").alias("b"))).distinct()
+        pairs = written(pairs, "pairs")
+        if pairs.isEmpty():
+            break
+        new = written(_verified(pairs, texts, words, least), "links")
+        leaders = lead.select("lb", "lt") if leaders is None else written(leaders.unionByName(lead.select("lb", "lt")), "leaders")
+        if roots is not None and new.isEmpty() and turn > 1:
+            break
+        links = new if links is None else links.unionByName(new)
+        roots = components(links)
+        classed = written(member.join(roots, F.col("t") == F.col("node"), "left").select("band", "k", "t", "n", "met", F.coalesce("root", "t").alias("root")), "classed")
+        split = classed.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
+        classed = written(classed.join(split, F.col("band") == F.col("o"), "left_semi"), "apart")
+    if roots is None:
+        return signed.where("false").select("t", F.col("t").alias("root"))
+    return roots.select(F.col("node").alias("t"), "root")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
@@ -175,7 +188,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **
 
     Words are lower-cased runs of ASCII letters and digits and of all other scripts; two texts are near copies if the
     multisets of their 5-word shingles have a Jaccard similarity of 0.8 or more, and a class is all that such links
-    connect, equal texts included. Texts without words are only copies of equal texts. A null text is like no other, and
+    connect, equal texts included. In a bucket of over 12 texts that don't form one class after four leaders, links that
+    none of its leaders nor another of the 16 bands shows are not seen. Texts without words are only copies of equal texts. A null text is like no other, and
     its class is its own key. Repeated rows are copies. A class that holds only null keys has a null class_id. An empty table gives an empty table.
     """
     classes = written(near_classes(docs, text, **settings).select(F.col("t").alias("node"), "root"), "classes")
