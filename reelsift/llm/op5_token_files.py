@@ -20,12 +20,13 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelsift.llm.words import slices
+from reelsift.llm.words import mix, slices
 from reelsift.shared import scratch_path, written
 
 MAGIC = b"RSTB"
@@ -91,21 +92,77 @@ class TokenImage:
         return np.concatenate(some)[start - first * self.block_ids : stop - first * self.block_ids]
 
 
-#: Where a text is cut: before each run of blanks. White space outside ASCII is looked at by the library alone.
-_CHUNK = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
+#: White space outside ASCII and separators: texts with them are encoded whole.
 _RARE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Chunks whose ids are remembered at once.
-_MEMORY = 300_000
+_BYTE = np.arange(256)
+_BLANK = ((_BYTE >= 9) & (_BYTE <= 13)) | (_BYTE == 32)
+_LETTER = ((_BYTE | 32) >= 97) & ((_BYTE | 32) <= 122) & (_BYTE < 128)
+_NO_LETTER = ~_LETTER & (_BYTE < 128)
+#: The low bytes of a number that a piece of so many bytes fills.
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+class Pieces:
+    """Ids of pieces of at most 16 bytes: an open hash table in arrays, keyed by all bytes of a piece, so exact.
+
+    A piece is its length, first 8 and last 8 bytes. The table takes 40 bytes a slot, whatever the corpus; once half full
+    it starts anew.
+    """
+
+    def __init__(self, slots: int = 1 << 21):
+        self.slots = slots
+        self.clear()
+
+    def clear(self) -> None:
+        self.head, self.tail = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.uint64)
+        self.length, self.start, self.count = np.zeros(self.slots, np.uint8), np.zeros(self.slots, np.int64), np.zeros(self.slots, np.int32)
+        self.ids, self.used, self.n = np.empty(self.slots, np.uint32), 0, 0
+
+    def find(self, head: np.ndarray, tail: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The slot of each piece, or of the free slot it would take as -1 - slot."""
+        slot = (mix(head ^ mix(tail + length)) & np.uint64(self.slots - 1)).astype(np.int64)
+        left = np.arange(len(slot))
+        while len(left):
+            at = slot[left]
+            free = self.length[at] == 0
+            same = (self.head[at] == head[left]) & (self.tail[at] == tail[left]) & (self.length[at] == length[left])
+            slot[left[free]] = -1 - at[free]
+            left = left[~free & ~same]
+            slot[left] = (slot[left] + 1) & (self.slots - 1)
+        return slot
+
+    def add(self, head: np.ndarray, tail: np.ndarray, length: np.ndarray, found: list[list[int]]) -> None:
+        """Adds distinct pieces that are not there yet."""
+        counts = np.fromiter(map(len, found), np.int32, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.empty(max(len(ids), self.used), np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        starts = self.used + np.cumsum(counts) - counts
+        self.used, self.n = self.used + len(ids), self.n + len(found)
+        left = np.arange(len(found))
+        while len(left):
+            at = -1 - self.find(head[left], tail[left], length[left])
+            _, one = np.unique(at, return_index=True)  # of pieces that want one slot the first gets it
+            own, at = left[one], at[one]
+            self.head[at], self.tail[at], self.length[at] = head[own], tail[own], length[own]
+            self.start[at], self.count[at] = starts[own], counts[own]
+            left = np.delete(left, one)
 
 
 class Encoder:
     """Ids of whole texts from a tokenizers file.
 
-    A byte-level tokenizer that adds no blank never joins a word with the blanks after it, so a text's ids are those of
-    its chunks (blanks and the word after them), and the library encodes each distinct chunk once. Texts with white
-    space outside ASCII or with a special string, and all texts of other tokenizers, are encoded whole.
+    A byte-level tokenizer that adds no blank splits a text before blanks and between letters and other characters before
+    it merges bytes, so a text's ids are those of its pieces: cut before each run of blanks, and after an ASCII letter
+    before another ASCII character. The library encodes a piece once while the table remembers it, and each piece over
+    16 bytes once in a slice. Texts with white space outside ASCII or with a special string, and all texts of other
+    tokenizers, are encoded whole.
     """
 
+    #: Pieces or whole texts given to the library at once.
+    BATCH = 4096
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
         self.library = Tokenizer.from_file(path)
@@ -113,20 +170,75 @@ class Encoder:
         before = file.get("pre_tokenizer") or {}
         self.cuts = not file.get("normalizer") and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
         self.special = [x["content"] for x in file.get("added_tokens", [])]
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = Pieces()
+
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        return [x.ids for i in range(0, len(pieces), self.BATCH) for x in self.library.encode_batch_fast(pieces[i : i + self.BATCH], add_special_tokens=False)]
 
     def encode(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
         """The ids of each text and the end id."""
         whole = [not self.cuts or bool(_RARE.search(x)) or any(y in x for y in self.special) for x in texts]
-        chunks = [None if w else _CHUNK.findall(x) for x, w in zip(texts, whole, strict=True)]
-        if len(self.known) > _MEMORY:
+        cut = iter(self._by_pieces([x.encode() for x, w in zip(texts, whole, strict=True) if not w]))
+        for text, w in zip(texts, whole, strict=True):
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32) if w else next(cut)
+            yield np.append(ids, np.uint32(end))
+
+    def _by_pieces(self, texts: list[bytes]) -> list[np.ndarray]:
+        data = b"".join(texts)
+        size = len(data)
+        if not size:
+            return [np.empty(0, np.uint32)] * len(texts)
+        raw = np.frombuffer(data, np.uint8)
+        begin = np.cumsum([0, *map(len, texts)])
+        blank, first = _BLANK[raw], np.zeros(size, bool)
+        first[1:] = (blank[1:] & ~blank[:-1]) | (_LETTER[raw[:-1]] & _NO_LETTER[raw[1:]])
+        first[begin[:-1][begin[:-1] < size]] = True
+        starts = np.flatnonzero(first)
+        stops = np.append(starts[1:], size)
+        lengths = stops - starts
+        padded = bytes(8) + data + bytes(8)
+        eight = np.ndarray((size + 9,), "<u8", padded, strides=(1,))
+        head = eight[starts + 8] & _MASK[np.minimum(lengths, 8)]
+        tail = np.where(lengths > 8, eight[stops], np.uint64(0))
+        short = np.flatnonzero(lengths <= 16)
+        head, tail, length = head[short], tail[short], lengths[short].astype(np.uint64)
+        if self.known.n * 2 > self.known.slots:
             self.known.clear()
-        new = [*{x for own in chunks if own for x in own}.difference(self.known)]
-        for x, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[x] = tuple(found.ids)
-        for text, own in zip(texts, chunks, strict=True):
-            ids = self.library.encode(text, add_special_tokens=False).ids if own is None else chain.from_iterable(map(self.known.__getitem__, own))
-            yield np.fromiter(chain(ids, (end,)), np.uint32)
+        slot = self.known.find(head, tail, length)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            _, one = np.unique(np.stack([head[new], tail[new], length[new]], 1).view("V24").ravel(), return_index=True)
+            own = new[one]
+            while self.known.n + len(own) > self.known.slots * 3 // 4:  # only by a slice of very many new pieces
+                self.known = Pieces(self.known.slots * 2)
+                slot = np.full(len(short), -1)
+                new, own = np.arange(len(short)), np.unique(np.stack([head, tail, length], 1).view("V24").ravel(), return_index=True)[1]
+            pieces = [data[s:e].decode() for s, e in zip(starts[short[own]].tolist(), stops[short[own]].tolist(), strict=True)]
+            self.known.add(head[own], tail[own], length[own], self._ids(pieces))
+            slot[new] = self.known.find(head[new], tail[new], length[new])
+        at, counts = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        at[short], counts[short] = self.known.start[slot], self.known.count[slot]
+        ids = self.known.ids[: self.known.used]
+        long = np.flatnonzero(lengths > 16)
+        if len(long):
+            pieces = [data[s:e].decode() for s, e in zip(starts[long].tolist(), stops[long].tolist(), strict=True)]
+            index: dict[str, int] = {}
+            place = np.array([index.setdefault(x, len(index)) for x in pieces])
+            found = self._ids([*index])
+            many = np.fromiter(map(len, found), np.int64, len(found))
+            at[long], counts[long] = (len(ids) + np.cumsum(many) - many)[place], many[place]
+            extra = np.fromiter(chain.from_iterable(found), np.uint32, int(many.sum()))
+        else:
+            extra = np.empty(0, np.uint32)
+        before = np.cumsum(counts) - counts
+        where = np.repeat(at - before, counts) + np.arange(int(counts.sum()))
+        if len(extra):
+            out = np.where(where < len(ids), ids[np.minimum(where, len(ids) - 1)] if len(ids) else np.uint32(0), extra[np.maximum(where - len(ids), 0)])
+        else:
+            out = ids[where]
+        # where each text's ids end
+        ends = np.append(before, len(out))[np.searchsorted(starts, begin[1:])]
+        return np.split(out, ends[:-1]) if len(texts) > 1 else [out]
 
 
 _loaded: dict[str, Encoder] = {}
@@ -151,9 +263,10 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[
         return pa.record_batch([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([n], pa.int64()), pa.array([data], pa.binary())], names=["part", "seq", "n_ids", "image"])
 
     for batch in batches:
-        own_keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-        for a, b in slices(texts):
-            for key, ids in zip(own_keys[a:b], encoder.encode(texts[a:b], end), strict=True):
+        own_keys, lengths_of = batch.column(0).to_pylist(), pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+        for a, b in slices(lengths_of):
+            texts = [x or "" for x in batch.column(1).slice(a, b - a).to_pylist()]
+            for key, ids in zip(own_keys[a:b], encoder.encode(texts, end), strict=True):
                 keys.append(key)
                 lengths.append(len(ids))
                 held.append(ids)

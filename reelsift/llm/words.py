@@ -70,11 +70,11 @@ def as_bytes(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def slices(texts: list[bytes | None], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Bounds of consecutive rows of about ``limit`` bytes."""
+def slices(texts: list[bytes | int | None], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive rows of about ``limit`` bytes; rows are texts or their sizes."""
     start = size = 0
     for i, text in enumerate(texts):
-        size += len(text or b"")
+        size += text if isinstance(text, int) else len(text or b"")
         if size >= limit:
             yield start, i + 1
             start, size = i + 1, 0
