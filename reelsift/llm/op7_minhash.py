@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.llm.components import components
+from reelsift.llm.components import components, hooked
 from reelsift.llm.words import PLAIN, as_bytes, inside, mix, slices, tokens, window_hashes
 from reelsift.shared import written
 
@@ -130,7 +130,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
     """``pairs`` (a, b) of text hashes with a similarity of ``least`` or more."""
     left = texts.select(F.col("t").alias("ta"), F.col("text").alias("xa"))
     right = texts.select(F.col("t").alias("tb"), F.col("text").alias("xb"))
-    rows = pairs.join(right, F.col("b") == F.col("tb")).join(left, F.col("a") == F.col("ta"))
+    # texts are never broadcast, so that small and large inputs have one plan
+    rows = pairs.join(right.hint("merge"), F.col("b") == F.col("tb")).join(left.hint("merge"), F.col("a") == F.col("ta"))
     return rows.select("a", "b", "xa", "xb").mapInArrow(lambda it: _verify_batches(it, words, least), "a string, b string")
 
 
@@ -154,33 +155,36 @@ def near_classes(
     texts = written(found.join(met.select("w"), F.col("t") == F.col("w"), "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
     similar = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
     classed = member.withColumn("root", F.col("t"))
-    links = leaders = roots = None
+    links = leaders = None
     for turn in range(ROUNDS):
-        free = classed if leaders is None else classed.join(leaders.join(roots, F.col("lt") == F.col("node"), "left").select(F.col("lb").alias("ub"), F.coalesce("root", "lt").alias("ur")), (F.col("band") == F.col("ub")) & (F.col("root") == F.col("ur")), "left_anti")
+        free = classed if leaders is None else classed.join(leaders, (F.col("band") == F.col("ub")) & (F.col("t") == F.col("ut")), "left_anti")
         lead = free.groupBy(F.col("band").alias("lb")).agg(F.max(F.struct("met", "t", "n", "root")).alias("l")).select("lb", F.col("l.t").alias("lt"), F.col("l.n").alias("ln"), F.col("l.root").alias("lr"))
         lead = written(lead, "leaders")
         apart = classed.join(lead, F.col("band") == F.col("lb")).where((F.col("root") != F.col("lr")) & similar(F.col("n"), F.col("ln")))
-        pairs = apart.select(F.least("t", "lt").alias("a"), F.greatest("t", "lt").alias("b")).distinct()
+        pairs = apart.select(F.least("t", "lt").alias("a"), F.greatest("t", "lt").alias("b"))
         if turn == 1:
             few = classed.where(F.col("k") <= FEW)
             other = few.select(F.col("band").alias("band2"), F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
             some = few.join(other, (F.col("band") == F.col("band2")) & (F.col("t") < F.col("t2")) & (F.col("root") != F.col("root2")) & similar(F.col("n"), F.col("n2")))
-            pairs = pairs.unionByName(some.select(F.col("t").alias("a"), F.col("t2").alias("b"))).distinct()
-        pairs = written(pairs, "pairs")
+            pairs = pairs.unionByName(some.select(F.col("t").alias("a"), F.col("t2").alias("b")))
+        pairs = written(pairs.distinct(), "pairs")
         if pairs.isEmpty():
             break
         new = written(_verified(pairs, texts, words, least), "links")
-        leaders = lead.select("lb", "lt") if leaders is None else written(leaders.unionByName(lead.select("lb", "lt")), "leaders")
-        if roots is not None and new.isEmpty() and turn > 1:
-            break
         links = new if links is None else links.unionByName(new)
-        roots = components(links)
-        classed = written(member.join(roots, F.col("t") == F.col("node"), "left").select("band", "k", "t", "n", "met", F.coalesce("root", "t").alias("root")), "classed")
-        split = classed.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
-        classed = written(classed.join(split, F.col("band") == F.col("o"), "left_semi"), "apart")
-    if roots is None:
+        if turn == ROUNDS - 1:
+            break
+        known = written(hooked(links), "hooked")
+        last = classed.select("band", "k", "t", "n", "met").join(known, F.col("t") == F.col("node"), "left").select("band", "k", "t", "n", "met", F.coalesce("root", "t").alias("root"))
+        split = last.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
+        classed = written(last.join(split, F.col("band") == F.col("o"), "left_semi"), "apart")
+        # a leader's class has been compared with its bucket's texts by the leader
+        ruled = lead.select("lb", "lt").join(known, F.col("lt") == F.col("node"), "left").select(F.col("lb").alias("ub"), F.coalesce("root", "lt").alias("ur"))
+        done = classed.join(ruled, (F.col("band") == F.col("ub")) & (F.col("root") == F.col("ur")), "left_semi").select(F.col("band").alias("ub"), F.col("t").alias("ut"))
+        leaders = done if leaders is None else written(leaders.unionByName(done), "leaders")
+    if links is None:
         return signed.where("false").select("t", F.col("t").alias("root"))
-    return roots.select(F.col("node").alias("t"), "root")
+    return components(links).select(F.col("node").alias("t"), "root")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
