@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.llm.components import components, hooked
-from reelsift.llm.words import PLAIN, as_bytes, inside, mix, slices, tokens, window_hashes
+from reelsift.llm.words import PLAIN, inside, mix, text_slices, tokens, window_hashes
 from reelsift.shared import written
 
 WORDS = 5
@@ -88,9 +88,8 @@ def signatures(values: np.ndarray, text: np.ndarray, counts: np.ndarray, n_texts
 def _sign_batches(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     """From text and its hash t: t, a hash of its shingles' multiset, the number of shingles, a hash for each band."""
     for batch in batches:
-        texts = as_bytes(batch.column(0))
-        for a, b in slices(texts):
-            values, text, counts = _counted(*shingles(texts[a:b], words)[:2])
+        for a, b, (texts,) in text_slices(batch.column(0)):
+            values, text, counts = _counted(*shingles(texts, words)[:2])
             point = signatures(values, text, counts, b - a, bands * rows).reshape(b - a, bands, rows)
             band = np.tile(np.arange(bands, dtype=np.uint64) * _GOLDEN, (b - a, 1))
             for i in range(rows):
@@ -104,10 +103,9 @@ def _verify_batches(batches: Iterator[pa.RecordBatch], words: int, least: float)
     """From pairs and their texts: the pairs whose shingle multisets overlap enough."""
     for batch in batches:
         a, b = batch.column(0), batch.column(1)
-        left, right = as_bytes(batch.column(2)), as_bytes(batch.column(3))
         good: list[int] = []
-        for s, e in slices([x + y for x, y in zip(left, right, strict=True)]):
-            texts = [*left[s:e], *right[s:e]]
+        for s, e, (left, right) in text_slices(batch.column(2), batch.column(3)):
+            texts = [*left, *right]
             index: dict[bytes, int] = {}
             place = [index.setdefault(x, len(index)) for x in texts]
             values, text, counts = _counted(*shingles([*index], words)[:2])
@@ -146,13 +144,13 @@ def near_classes(
     """
     found = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.md5(text).alias("t"))
     signed = found.mapInArrow(lambda it: _sign_batches(it, words, bands, rows), "t string, n long, bands array<long>")
-    signed = signed.where("n > 0").groupBy("t").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+    signed = written(signed.where("n > 0").groupBy("t").agg(F.first("n").alias("n"), F.first("bands").alias("bands")), "signed")
     each = signed.select("t", "n", F.explode("bands").alias("band"))
     full = each.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("band").alias("o"), "k")
-    member = written(each.join(full, F.col("band") == F.col("o")).select("band", "k", "t", "n"), "buckets")
+    member = written(each.join(full.hint("merge"), F.col("band") == F.col("o")).select("band", "k", "t", "n"), "buckets")
     met = written(member.groupBy(F.col("t").alias("w")).agg(F.sum("k").alias("met")), "met")
-    member = written(member.join(met, F.col("t") == F.col("w")).select("band", "k", "t", "n", "met"), "members")
-    texts = written(found.join(met.select("w"), F.col("t") == F.col("w"), "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
+    member = written(member.join(met.hint("merge"), F.col("t") == F.col("w")).select("band", "k", "t", "n", "met"), "members")
+    texts = written(found.join(met.select("w").hint("merge"), F.col("t") == F.col("w"), "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
     similar = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
     classed = member.withColumn("root", F.col("t"))
     links = leaders = None
@@ -198,11 +196,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **
     """
     classes = written(near_classes(docs, text, **settings).select(F.col("t").alias("node"), "root"), "classes")
     rows = docs.select(F.col(key).alias("key"), F.md5(text).alias("t"))
-    rows = rows.join(classes, F.col("t") == F.col("node"), "left")
+    rows = rows.join(classes.hint("merge"), F.col("t") == F.col("node"), "left")
     null_class = F.concat(F.lit("null "), F.coalesce(F.col("key").cast("string"), F.lit("")))
     rows = written(rows.select("key", F.coalesce("root", "t", null_class).alias("class")), "members")
     sizes = rows.groupBy(F.col("class").alias("c")).agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("copies"))
-    return rows.join(sizes, F.col("class") == F.col("c")).select(F.col("key").alias(key), "class_id", "copies")
+    return rows.join(sizes.hint("merge"), F.col("class") == F.col("c")).select(F.col("key").alias(key), "class_id", "copies")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once by a Python worker; one longer text is handled alone.
 SLICE_BYTES = 1 << 20
@@ -82,6 +83,14 @@ def slices(texts: list[bytes | int | None], limit: int = SLICE_BYTES) -> Iterato
         yield start, len(texts)
 
 
+def text_slices(column: pa.Array, *more: pa.Array) -> Iterator[tuple[int, int, list]]:
+    """Bounds of consecutive rows of about ``SLICE_BYTES`` and their texts as bytes; only one slice is copied at a time."""
+    columns = [column, *more]
+    sizes = [pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False) for c in columns]
+    for a, b in slices(sum(sizes).tolist() if len(column) else []):
+        yield a, b, [as_bytes(c.slice(a, b - a)) for c in columns]
+
+
 def _spans(values: np.ndarray, n: int, width: np.ndarray | int, starts: np.ndarray) -> np.ndarray:
     """Hash of ``width`` values from each start, by one running sum modulo 2**64."""
     sums = np.zeros(n + 1, np.uint64)
