@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelsift.llm.words import _RANDOM, BLANKS, PLAIN, as_bytes, inside, mix, slices, tokens, window_hashes
+from reelsift.llm.words import _RANDOM, BLANKS, PLAIN, as_bytes, in_batches, inside, mix, slices, tokens, window_hashes
 
 #: Hashed features; most labelled rows that the fit uses; texts a feature must be in to count; least tail probability.
 FEATURES, MOST_ROWS, LEAST_TEXTS, LEAST_TAIL = 1 << 18, 16_000, 5, 0.5
@@ -137,7 +137,7 @@ def train(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str =
     """Fits on the at most ``most_rows`` rated keys whose hashes are least; only their features come to the driver."""
     some = ratings.orderBy(F.xxhash64("rated"), "rated").limit(most_rows)
     rows = docs.join(F.broadcast(some), F.col(key) == F.col("rated")).select(text, "grade")
-    rows = rows.mapInArrow(lambda it: _feature_batches(it, size), "grade int, features array<int>").limit(2 * most_rows).toArrow()
+    rows = in_batches(rows, lambda it: _feature_batches(it, size), "grade int, features array<int>").limit(2 * most_rows).toArrow()
     lists = rows["features"].combine_chunks()
     return fit([x.values.to_numpy() for x in lists], rows["grade"].to_numpy(), n_grades, size)
 
@@ -153,4 +153,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", least: float = LEAS
     sent = docs.sparkSession.sparkContext.broadcast(model)
     size = len(model.weights)
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("expected_grade double, tail_probability double, keep boolean").fields])
-    return docs.select("*", F.col(text).alias("_text")).mapInArrow(lambda it: _score_batches(it, sent, size, least), schema)
+    return in_batches(docs.select("*", F.col(text).alias("_text")), lambda it: _score_batches(it, sent, size, least), schema)

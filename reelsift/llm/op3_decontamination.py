@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelsift.llm.words import PLAIN, Tokens, as_bytes, inside, slices, tokens, window_hashes
+from reelsift.llm.words import PLAIN, Tokens, as_bytes, in_batches, inside, slices, tokens, window_hashes
 
 WIDTH = 8
 #: Words of benchmark text in one broadcast (about 50 MB); a larger benchmark takes several passes over the texts.
@@ -146,5 +146,5 @@ def find_leaks(
     result = StructType([*own, *_fields("n_words long, n_hit long, items array<string>, clean string")])
     for i, part in enumerate(parts):
         last = i == len(parts) - 1
-        out = out.mapInArrow(lambda it, part=part, last=last: _scan(it, part, last), result if last else through)
+        out = in_batches(out, lambda it, part=part, last=last: _scan(it, part, last), result if last else through)
     return out

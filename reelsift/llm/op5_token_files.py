@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reelsift.llm.words import mix, slices
+from reelsift.llm.words import in_batches, mix, slices
 from reelsift.shared import scratch_path, written
 
 MAGIC = b"RSTB"
@@ -288,7 +288,7 @@ def write_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     rows = rows.repartitionByRange(F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first())
-    rows.mapInArrow(lambda it: _encode(it, tokenizer, end), "part int, seq int, n_ids long, image binary").write.parquet(path)
+    in_batches(rows, lambda it: _encode(it, tokenizer, end), "part int, seq int, n_ids long, image binary").write.parquet(path)
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,7 +313,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     starts = starts.join(parts, F.col("part") == F.col("p")).select(F.col("part").alias("p"), F.col("seq").alias("s"), (F.col("inner") + F.col("base")).alias("start"))
     starts = written(starts, "starts")
     rows = files.join(starts, (F.col("part") == F.col("p")) & (F.col("seq") == F.col("s"))).select("image", "start")
-    return rows.mapInArrow(_decode, "key long, start long, n_tokens long, ids_crc32 long")
+    return in_batches(rows, _decode, "key long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_index(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reelsift.llm.fingerprint_log import FingerprintLog, bitmap, in_bitmap
-from reelsift.llm.words import BLANKS, as_bytes, inside, moving, slices, tokens, window_hashes
+from reelsift.llm.words import BLANKS, as_bytes, in_batches, inside, moving, slices, tokens, window_hashes
 
 WIDTH = 35
 PIECE = 8
@@ -125,7 +125,7 @@ def sample_log(docs: DataFrame, text: str = "text", width: int = WIDTH, piece: i
     log = FingerprintLog(docs.sparkSession)
     for i in range(batches):
         batch = docs.where(F.pmod(F.xxhash64(text), F.lit(batches)) == i).select(text)
-        log.append(batch.mapInArrow(lambda it: _sample_batches(it, width, piece), "fp long, n int"))
+        log.append(in_batches(batch, lambda it: _sample_batches(it, width, piece), "fp long, n int"))
     return log
 
 
@@ -144,7 +144,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     log = sample_log(docs, text, width, piece, batches)
     repeated = spark.sparkContext.broadcast(bitmap(log.repeated(), BITS))
     k1, k2 = F.coalesce(F.xxhash64(key), F.lit(0)).alias("k1"), F.xxhash64(text, F.lit(7)).alias("k2")
-    rows = docs.select(text, k1, k2).mapInArrow(lambda it: _window_batches(it, width, piece, repeated), _ROWS)
+    rows = in_batches(docs.select(text, k1, k2), lambda it: _window_batches(it, width, piece, repeated), _ROWS)
     # one exchange by sample serves the window below, whose partitions are parts of it
     each = rows.repartition("sample").select("sample", "k1", "k2", F.explode(F.arrays_zip("spans", "fps", "ns")).alias("w"))
     each = each.select("sample", "k1", "k2", F.col("w.spans").alias("span"), F.col("w.fps").alias("fp"), F.col("w.ns").alias("n"))
@@ -153,4 +153,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     whole = docs.select(*docs.columns, k1.alias("_k1"), k2.alias("_k2")).join(spans, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
     out = whole.select(*docs.columns, F.col(text).alias("_text"), "_spans")
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("n_words long, n_removed long, kept string").fields])
-    return out.mapInArrow(lambda it: _kept_batches(it, width), schema)
+    return in_batches(out, lambda it: _kept_batches(it, width), schema)

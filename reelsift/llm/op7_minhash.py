@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelsift.llm.components import components, hooked
-from reelsift.llm.words import PLAIN, inside, mix, text_slices, tokens, window_hashes
+from reelsift.llm.words import PLAIN, in_batches, inside, mix, text_slices, tokens, window_hashes
 from reelsift.shared import written
 
 WORDS = 5
@@ -130,7 +130,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
     right = texts.select(F.col("t").alias("tb"), F.col("text").alias("xb"))
     # texts are never broadcast, so that small and large inputs have one plan
     rows = pairs.join(right.hint("merge"), F.col("b") == F.col("tb")).join(left.hint("merge"), F.col("a") == F.col("ta"))
-    return rows.select("a", "b", "xa", "xb").mapInArrow(lambda it: _verify_batches(it, words, least), "a string, b string")
+    return in_batches(rows.select("a", "b", "xa", "xb"), lambda it: _verify_batches(it, words, least), "a string, b string")
 
 
 def near_classes(
@@ -143,7 +143,7 @@ def near_classes(
     costs as many comparisons as buckets have members. Buckets of at most ``FEW`` texts are compared throughout.
     """
     found = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.md5(text).alias("t"))
-    signed = found.mapInArrow(lambda it: _sign_batches(it, words, bands, rows), "t string, n long, bands array<long>")
+    signed = in_batches(found, lambda it: _sign_batches(it, words, bands, rows), "t string, n long, bands array<long>")
     signed = written(signed.where("n > 0").groupBy("t").agg(F.first("n").alias("n"), F.first("bands").alias("bands")), "signed")
     each = signed.select("t", "n", F.explode("bands").alias("band"))
     full = each.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("band").alias("o"), "k")

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from reelsift.llm.words import in_batches
+
 #: Elements whose content is never shown as text, or is a control.
 SILENT = frozenset("script style title textarea noscript template iframe svg math object canvas audio video select button option datalist".split())
 #: Of these, elements whose content is not markup.
@@ -185,4 +187,4 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """
     pages = pages.drop("main_text")
     schema = StructType([*pages.schema.fields, *StructType.fromDDL("main_text string").fields])
-    return pages.select("*", F.col(html).alias("_html")).mapInArrow(_extract_batches, schema)
+    return in_batches(pages.select("*", F.col(html).alias("_html")), _extract_batches, schema)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 #: Bytes of text handled at once by a Python worker; one longer text is handled alone.
 SLICE_BYTES = 1 << 20
 
+#: Most bytes of a batch that goes to a Python worker, but for one longer row. The executor holds each batch several times over.
+BATCH_BYTES = 2 * SLICE_BYTES
+
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -66,6 +71,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _grown[base][:n]
 
 
+def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with batches of a bounded number of bytes, for which it lowers the session's setting."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    now = str(conf.get(setting)).lower().removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        conf.set(setting, str(BATCH_BYTES))
+    return df.mapInArrow(work, schema)
+
+
 def as_bytes(column) -> list[bytes | None]:
     """UTF-8 bytes of an Arrow string column."""
     return column.cast(pa.binary()).to_pylist()
