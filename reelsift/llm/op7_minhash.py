@@ -199,7 +199,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **
     rows = rows.join(classes.hint("merge"), F.col("t") == F.col("node"), "left")
     null_class = F.concat(F.lit("null "), F.coalesce(F.col("key").cast("string"), F.lit("")))
     rows = written(rows.select("key", F.coalesce("root", "t", null_class).alias("class")), "members")
-    sizes = rows.groupBy(F.col("class").alias("c")).agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("copies"))
+    # written, so that the join below has plain exchanges on both sides and a large class can be split
+    sizes = written(rows.groupBy(F.col("class").alias("c")).agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("copies")), "sizes")
     return rows.join(sizes.hint("merge"), F.col("class") == F.col("c")).select(F.col("key").alias(key), "class_id", "copies")
 
 
