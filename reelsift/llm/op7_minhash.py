@@ -25,6 +25,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 #: Rounds of leaders, and texts in a bucket that is compared throughout.
 ROUNDS, FEW = 4, 12
+#: Elements are counted in so many slots, to try rare ones first.
+SLOT_BITS = 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,6 +135,68 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
     return in_batches(rows.select("a", "b", "xa", "xb"), lambda it: _verify_batches(it, words, least), "a string, b string")
 
 
+def _elements(texts: list[bytes | None], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles of each text as a set, a repeat being an element of its own: elements, text of each, elements by text."""
+    values, text, counts = _counted(*shingles(texts, words)[:2])
+    again = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    whose = np.repeat(text, counts)
+    return mix(np.repeat(values, counts) + again.astype(np.uint64) * _GOLDEN), whose, np.bincount(whose, minlength=len(texts))
+
+
+def _slot(elements: np.ndarray) -> np.ndarray:
+    return (elements >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """From texts: how many elements fall into each slot."""
+    total = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in batches:
+        for _, _, (texts,) in text_slices(batch.column(0)):
+            total += np.bincount(_slot(_elements(texts, words)[0]), minlength=len(total))
+    some = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["slot", "c"])
+
+
+def _prefix_batches(batches: Iterator[pa.RecordBatch], words: int, least: float, often: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """From text, t and root: a text's rarest elements with t, root, n, and whether they are among the rarest for longer texts too."""
+    for batch in batches:
+        for a, b, (texts,) in text_slices(batch.column(0)):
+            element, whose, n = _elements(texts, words)
+            order = np.lexsort([element, often[_slot(element)], whose])
+            element, whose = element[order], whose[order]
+            place = np.arange(len(element)) - (np.cumsum(n) - n)[whose]
+            # of a pair the longer text shares `least` of its own elements at least, the shorter one 2 * least / (1 + least)
+            longer = n - np.ceil(n * least - 1e-6) + 1
+            shorter = n - np.ceil(n * (2 * least / (1 + least)) - 1e-6) + 1
+            at = np.flatnonzero(place < longer[whose])
+            row = pa.array(whose[at] + a)
+            yield pa.record_batch(
+                [pa.array(element[at].view(np.int64)), batch.column(1).take(row), batch.column(2).take(row), pa.array(n[whose[at]].astype(np.int64)), pa.array(place[at] < shorter[whose[at]])],
+                names=["e", "t", "root", "n", "both"],
+            )
+
+
+def _shared_prefixes(rest: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """Pairs (a, b) of texts of different roots, among them every pair with a similarity of ``least`` or more.
+
+    In any one order of all elements, two such texts share an element among the first few of each (prefix filter). Rare
+    ones come first, so that what many texts have in common makes few pairs; the counts they are ordered by are those of
+    slots, a table of fixed size, as the order matters for speed alone.
+    """
+    spark = rest.sparkSession
+    held = written(texts.join(rest.select(F.col("t").alias("w"), "root").hint("merge"), F.col("t") == F.col("w")).select("text", "t", "root"), "held")
+    slots = in_batches(held.select("text"), lambda it: _count_batches(it, words), "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
+    often = np.zeros(1 << SLOT_BITS, np.int64)
+    often[slots["slot"].to_numpy()] = slots["c"].to_numpy()
+    sent = spark.sparkContext.broadcast(often)
+    first = written(in_batches(held, lambda it: _prefix_batches(it, words, least, sent.value), "e long, t string, root string, n long, both boolean"), "prefixes")
+    sent.destroy()
+    short = first.where("both").select(F.col("e").alias("e2"), F.col("t").alias("t2"), F.col("root").alias("root2"), F.col("n").alias("n2"))
+    longer = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("t") > F.col("t2"))
+    met = first.join(short.hint("merge"), (F.col("e") == F.col("e2")) & (F.col("root") != F.col("root2")) & longer & (F.col("n2") >= F.col("n") * least - 1e-9))
+    return written(met.select(F.least("t", "t2").alias("a"), F.greatest("t", "t2").alias("b")).distinct(), "pairs")
+
+
 def near_classes(
     docs: DataFrame, text: str = "text", words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -140,7 +204,9 @@ def near_classes(
 
     In each round, a band's bucket has a leader, the text that meets most others over all its buckets and is not in the
     class of an earlier leader, and all texts of other classes and of similar length are compared with it. So a round
-    costs as many comparisons as buckets have members. Buckets of at most ``FEW`` texts are compared throughout.
+    costs as many comparisons as buckets have members. Buckets of at most ``FEW`` texts are compared throughout. Texts of
+    larger buckets that are not one class after the rounds are compared wherever they share a rare shingle, which all
+    similar ones do, so that no link within a bucket is lost.
     """
     found = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.md5(text).alias("t"))
     signed = in_batches(found, lambda it: _sign_batches(it, words, bands, rows), "t string, n long, bands array<long>")
@@ -166,7 +232,7 @@ def near_classes(
             some = few.join(other, (F.col("band") == F.col("band2")) & (F.col("t") < F.col("t2")) & (F.col("root") != F.col("root2")) & similar(F.col("n"), F.col("n2")))
             pairs = pairs.unionByName(some.select(F.col("t").alias("a"), F.col("t2").alias("b")))
         pairs = written(pairs.distinct(), "pairs")
-        if pairs.isEmpty():
+        if turn > 1 and pairs.isEmpty():  # small buckets are compared in turn 1
             break
         new = written(_verified(pairs, texts, words, least), "links")
         links = new if links is None else links.unionByName(new)
@@ -180,9 +246,16 @@ def near_classes(
         ruled = lead.select("lb", "lt").join(known, F.col("lt") == F.col("node"), "left").select(F.col("lb").alias("ub"), F.coalesce("root", "lt").alias("ur"))
         done = classed.join(ruled, (F.col("band") == F.col("ub")) & (F.col("root") == F.col("ur")), "left_semi").select(F.col("band").alias("ub"), F.col("t").alias("ut"))
         leaders = done if leaders is None else written(leaders.unionByName(done), "leaders")
-    if links is None:
-        return signed.where("false").select("t", F.col("t").alias("root"))
-    return components(links).select(F.col("node").alias("t"), "root")
+    classes = components(links)
+    # texts of large buckets that are not one class
+    left = classed.where(F.col("k") > FEW).select("band", "t").join(classes.hint("merge"), F.col("t") == F.col("node"), "left").select("band", "t", F.coalesce("root", "t").alias("root"))
+    split = left.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
+    rest = written(left.join(split, F.col("band") == F.col("o"), "left_semi").select("t", "root").distinct(), "rest")
+    if rest.isEmpty():
+        return classes.select(F.col("node").alias("t"), "root")
+    new = written(_verified(_shared_prefixes(rest, texts, words, least), texts, words, least), "links")
+    joined = components(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
+    return joined.select(F.col("node").alias("t"), "root")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
@@ -190,8 +263,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **
 
     Words are lower-cased runs of ASCII letters and digits and of all other scripts; two texts are near copies if the
     multisets of their 5-word shingles have a Jaccard similarity of 0.8 or more, and a class is all that such links
-    connect, equal texts included. In a bucket of over 12 texts that don't form one class after four leaders, links that
-    none of its leaders nor another of the 16 bands shows are not seen. Texts without words are only copies of equal texts. A null text is like no other, and
+    connect, equal texts included. Links of texts that share none of the 16 bands' buckets may be unseen. Texts without words are only copies of equal texts. A null text is like no other, and
     its class is its own key. Repeated rows are copies. A class that holds only null keys has a null class_id. An empty table gives an empty table.
     """
     classes = written(near_classes(docs, text, **settings).select(F.col("t").alias("node"), "root"), "classes")

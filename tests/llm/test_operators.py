@@ -153,6 +153,21 @@ def test_near_copies(spark, docs, empty):
     assert kept.columns == docs.columns and kept.where("doc_id = 5").count() == 1 and kept.where("doc_id between 100 and 120").count() < 6
 
 
+def test_near_copies_of_a_template(spark):
+    r = random.Random(7)
+    frame = [f"f{i}" for i in range(160)]
+    rows = []
+    for g in range(100):
+        own = [f"g{g}x{i}" for i in range(24)]
+        rows += [(2 * g + k, " ".join([*frame, *own, *(f"v{r.getrandbits(40)}" for _ in range(12))])) for k in range(2)]
+    bags = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for _, t in rows for w in [t.split()]]
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    assert all(alike(bags[i], bags[j]) == (i // 2 == j // 2) for i in range(200) for j in range(i))
+    # few bands of one row, so that most texts share a bucket and few of them lead it
+    out = op7_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=6, rows=1).collect()
+    assert sorted((r.doc_id, r.class_id, r.copies) for r in out) == [(i, i // 2 * 2, 2) for i in range(200)]
+
+
 def test_bag_signatures_estimate_weighted_jaccard():
     r = np.random.default_rng(1)
     values = r.integers(0, 1 << 63, 200).astype(np.uint64)
