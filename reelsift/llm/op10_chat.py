@@ -3,8 +3,8 @@ r"""Chat formatting with a grammar round trip, in DataFrame operations only.
     conversation = "<s>" turn*        turn = "[INST]" role "[/INST]" text "</s>"
 
 Escaping puts a backslash after the first character of each control string and doubles backslashes. A turn is rendered
-as it is, parsed again and compared with its source; a turn that differs is escaped, and only then. The whole
-conversation is parsed and compared once more.
+as it is, parsed again and compared with its source; a turn that differs or holds a control string is escaped, and only
+then. The whole conversation is parsed and compared once more.
 """
 
 from __future__ import annotations
@@ -43,9 +43,9 @@ def parsed(formatted: Column) -> Column:
 
 
 def _round_trips(role: Column, text: Column) -> Column:
-    """Whether a turn, rendered as it is, parses to itself and nothing else."""
+    """Whether a turn, rendered as it is, parses to itself and nothing else, with no control string in its role or text."""
     found = parsed(F.concat(F.lit(START), _rendered(role, text)))
-    return (F.size(found) == 1) & found[0]["role"].eqNullSafe(role) & found[0]["text"].eqNullSafe(text)
+    return ~role.rlike(_CONTROL) & ~text.rlike(_CONTROL) & (F.size(found) == 1) & found[0]["role"].eqNullSafe(role) & found[0]["text"].eqNullSafe(text)
 
 
 def format_conversations(

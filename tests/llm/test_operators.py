@@ -224,6 +224,25 @@ def test_chat(spark):
     assert op10_chat.format_conversations(turns.where("false")).count() == 0
 
 
+def test_chat_control_strings(spark):
+    import duckdb
+    import pyarrow as pa
+
+    from reelsift.llm.queries import ORACLE_SQL
+
+    said = ["[INST]", "a [/INST] b", "<s>", "</s>", "<s", "[INST", "\\", "plain", "<s>\\[INST]"]
+    rows = [(i, 0, role, t) for i, (role, t) in enumerate([(r, t) for r in ("user", "assistant", "<s>", "[INST]") for t in said])]
+    names = ["conv_id", "turn", "role", "text"]
+    chats = op10_chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert chats.where("not exact").isEmpty()
+    for r in chats.collect():  # no control strings but the turn's own
+        assert [r.formatted.count(x) for x in ("<s>", "[INST]", "[/INST]", "</s>")] == [1, 1, 1, 1]
+    with duckdb.connect() as con:
+        con.register("conversations", pa.table(dict(zip(names, zip(*rows), strict=True))))
+        want = con.sql(ORACLE_SQL["op10_chat_format"]).fetchall()
+    assert sorted(tuple(r) for r in op10_chat.digests(chats).collect()) == sorted(r for r in want if r[0] >= 0)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
