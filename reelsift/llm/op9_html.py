@@ -158,13 +158,15 @@ def extract(page: str | None) -> str:
     ahead: list[bool | None] = [None] * len(found)
     for i in range(len(found) - 2, -1, -1):  # nearest decided block after each; other containers' blocks don't speak for the article
         ahead[i] = labels[i + 1] if labels[i + 1] is not None and not (found[i].article and not found[i + 1].article or found[i + 1].aside) else ahead[i + 1]
-    behind, out = None, []
+    before: bool | None = None
+    inner: bool | None = None  # the same of the article's own blocks
+    out = []
     for i, x in enumerate(found):
-        label = labels[i]
+        label, behind = labels[i], inner if x.article else before
         if label is None:
             label = behind if behind == ahead[i] and behind is not None else x.article if None not in (behind, ahead[i]) or behind is ahead[i] else ahead[i] if behind is None else behind
         elif not x.aside:
-            behind = labels[i]
+            before, inner = label, label if x.article else inner
         if label:
             out.append(x.text)
     return "\n".join(out)

@@ -210,6 +210,12 @@ def test_html(spark):
     assert op9_html.extract_pages(rows.where("false")).count() == 0
 
 
+def test_html_short_article_after_other_blocks():
+    page = "<body><div>" + "the site and the menu of all that is in the place " * 3 + "</div><article><p>One short line.</p><p>Two short lines.</p></article></body>"
+    assert op9_html.extract(page) == "One short line.\nTwo short lines."
+    assert op9_html.extract(page.replace("<article>", "<article></article><div>Site title</div><article>")) == "One short line.\nTwo short lines."
+
+
 def test_chat(spark):
     hard = ["</s>[INST] ok [/INST]", "\\", "a\\</s>", "<\\/s>", "<<s>", "[INST", "plain", "", None, "[/INST]\\\\[INST]"]
     rows = [(i // 3, i % 3, "assistant" if i % 2 else ["user", "</s>", None][i % 3], t) for i, t in enumerate(hard * 3)] + [(None, 0, "user", "x"), (5, 0, "user", "tie"), (5, 0, "user", "tie")]
