@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelsift.shared import written
+from reelsift.shared import release, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -30,8 +30,10 @@ def components(links: DataFrame) -> DataFrame:
         new = written(met.join(pull, F.col("root") == F.col("p"), "left").select("node", F.least("near", F.coalesce("low", "near")).alias("root")), "labels")
         changed = new.join(labels.select(F.col("node").alias("n"), F.col("root").alias("r")), F.col("node") == F.col("n")).where("root <> r")
         done = changed.isEmpty()
+        release(labels)
         labels = new
         if done:
+            release(both)
             return labels
 
 

@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 
 from reelsift.llm.components import components, hooked
 from reelsift.llm.words import PLAIN, in_batches, inside, mix, text_slices, tokens, window_hashes
-from reelsift.shared import written
+from reelsift.shared import release, written
 
 WORDS = 5
 SIMILARITY = 0.8
 #: Bands of rows: a pair at similarity 0.8 shares a band with probability 0.9998.
 BANDS, ROWS = 16, 4
-#: Rounds of leaders, and texts in a bucket that is compared throughout.
-ROUNDS, FEW = 4, 12
+#: Texts in a bucket that is compared throughout, and most ids of texts that go that are broadcast (16 MB).
+FEW, MOST_SENT = 12, 1 << 20
 #: Elements are counted in so many slots, to try rare ones first.
 SLOT_BITS = 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -88,7 +88,7 @@ def signatures(values: np.ndarray, text: np.ndarray, counts: np.ndarray, n_texts
 
 
 def _sign_batches(batches: Iterator[pa.RecordBatch], words: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """From text and its hash t: t, a hash of its shingles' multiset, the number of shingles, a hash for each band."""
+    """From text and its id: id, the number of shingles, a hash for each band."""
     for batch in batches:
         for a, b, (texts,) in text_slices(batch.column(0)):
             values, text, counts = _counted(*shingles(texts, words)[:2])
@@ -98,7 +98,7 @@ def _sign_batches(batches: Iterator[pa.RecordBatch], words: int, bands: int, row
                 band = mix(band ^ point[:, :, i])
             total = np.bincount(text, counts, minlength=b - a).astype(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a) * bands + 1, bands, dtype=np.int32)), pa.array(band.ravel().view(np.int64)))
-            yield pa.record_batch([batch.column(1).slice(a, b - a), pa.array(total), lists], names=["t", "n", "bands"])
+            yield pa.record_batch([batch.column(1).slice(a, b - a), pa.array(total), lists], names=["id", "n", "bands"])
 
 
 def _verify_batches(batches: Iterator[pa.RecordBatch], words: int, least: float) -> Iterator[pa.RecordBatch]:
@@ -127,12 +127,12 @@ def _verify_batches(batches: Iterator[pa.RecordBatch], words: int, least: float)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
-    """``pairs`` (a, b) of text hashes with a similarity of ``least`` or more."""
-    left = texts.select(F.col("t").alias("ta"), F.col("text").alias("xa"))
-    right = texts.select(F.col("t").alias("tb"), F.col("text").alias("xb"))
-    # texts are never broadcast, so that small and large inputs have one plan
-    rows = pairs.join(right.hint("merge"), F.col("b") == F.col("tb")).join(left.hint("merge"), F.col("a") == F.col("ta"))
-    return in_batches(rows.select("a", "b", "xa", "xb"), lambda it: _verify_batches(it, words, least), "a string, b string")
+    """``pairs`` (a, b) of text ids with a similarity of ``least`` or more."""
+    left = texts.select(F.col("id").alias("ia"), F.col("text").alias("xa"))
+    right = texts.select(F.col("id").alias("ib"), F.col("text").alias("xb"))
+    # texts are never broadcast, so that small and large inputs have one plan; pairs of one text are split by AQE
+    rows = pairs.join(right.hint("merge"), F.col("b") == F.col("ib")).join(left.hint("merge"), F.col("a") == F.col("ia"))
+    return in_batches(rows.select("a", "b", "xa", "xb"), lambda it: _verify_batches(it, words, least), "a long, b long")
 
 
 def _elements(texts: list[bytes | None], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -158,7 +158,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa
 
 
 def _prefix_batches(batches: Iterator[pa.RecordBatch], words: int, least: float, often: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """From text, t and root: a text's rarest elements with t, root, n, and whether they are among the rarest for longer texts too."""
+    """From text, id and root: a text's rarest elements with id, root, n, and whether they are among the rarest for longer texts too."""
     for batch in batches:
         for a, b, (texts,) in text_slices(batch.column(0)):
             element, whose, n = _elements(texts, words)
@@ -172,7 +172,7 @@ def _prefix_batches(batches: Iterator[pa.RecordBatch], words: int, least: float,
             row = pa.array(whose[at] + a)
             yield pa.record_batch(
                 [pa.array(element[at].view(np.int64)), batch.column(1).take(row), batch.column(2).take(row), pa.array(n[whose[at]].astype(np.int64)), pa.array(place[at] < shorter[whose[at]])],
-                names=["e", "t", "root", "n", "both"],
+                names=["e", "id", "root", "n", "both"],
             )
 
 
@@ -181,81 +181,108 @@ def _shared_prefixes(rest: DataFrame, texts: DataFrame, words: int, least: float
 
     In any one order of all elements, two such texts share an element among the first few of each (prefix filter). Rare
     ones come first, so that what many texts have in common makes few pairs; the counts they are ordered by are those of
-    slots, a table of fixed size, as the order matters for speed alone.
+    slots, a table of fixed size, as the order matters for speed alone. Of the texts that share an element, those outside
+    the root that has most of them are joined with all, so a large class costs what is not in it times its size.
     """
     spark = rest.sparkSession
-    held = written(texts.join(rest.select(F.col("t").alias("w"), "root").hint("merge"), F.col("t") == F.col("w")).select("text", "t", "root"), "held")
+    held = written(texts.join(rest.select(F.col("id").alias("w"), "root").hint("merge"), F.col("id") == F.col("w")).select("text", "id", "root"), "held")
     slots = in_batches(held.select("text"), lambda it: _count_batches(it, words), "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow()
     often = np.zeros(1 << SLOT_BITS, np.int64)
     often[slots["slot"].to_numpy()] = slots["c"].to_numpy()
     sent = spark.sparkContext.broadcast(often)
-    first = written(in_batches(held, lambda it: _prefix_batches(it, words, least, sent.value), "e long, t string, root string, n long, both boolean"), "prefixes")
+    first = written(in_batches(held, lambda it: _prefix_batches(it, words, least, sent.value), "e long, id long, root long, n long, both boolean"), "prefixes")
     sent.destroy()
-    short = first.where("both").select(F.col("e").alias("e2"), F.col("t").alias("t2"), F.col("root").alias("root2"), F.col("n").alias("n2"))
-    longer = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("t") > F.col("t2"))
-    met = first.join(short.hint("merge"), (F.col("e") == F.col("e2")) & (F.col("root") != F.col("root2")) & longer & (F.col("n2") >= F.col("n") * least - 1e-9))
-    return written(met.select(F.least("t", "t2").alias("a"), F.greatest("t", "t2").alias("b")).distinct(), "pairs")
-
-
-def near_classes(
-    docs: DataFrame, text: str = "text", words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
-) -> DataFrame:
-    """``(t, root)``: the hash (MD5) of each distinct text with a near copy, and of its class's least text.
-
-    In each round, a band's bucket has a leader, the text that meets most others over all its buckets and is not in the
-    class of an earlier leader, and all texts of other classes and of similar length are compared with it. So a round
-    costs as many comparisons as buckets have members. Buckets of at most ``FEW`` texts are compared throughout. Texts of
-    larger buckets that are not one class after the rounds are compared wherever they share a rare shingle, which all
-    similar ones do, so that no link within a bucket is lost.
+    release(held)
+    by_root = first.groupBy("e", "root").agg(F.count(F.lit(1)).alias("k"))
+    most = by_root.groupBy(F.col("e").alias("o")).agg(F.max(F.struct("k", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("o", F.col("m.root").alias("major"))
+    first = written(first.join(most.hint("merge"), F.col("e") == F.col("o")).select("e", "id", "root", "n", "both", "major"), "shared")
+    minor = first.where("root <> major").select(F.col("e").alias("e2"), F.col("id").alias("id2"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("both").alias("both2"))
+    longer = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("id") > F.col("id2"))
+    fits = F.when(longer, F.col("both2") & (F.col("n2") >= F.col("n") * least - 1e-9)).otherwise(F.col("both") & (F.col("n") >= F.col("n2") * least - 1e-9))
+    met = first.join(minor.hint("merge"), (F.col("e") == F.col("e2")) & (F.col("root") != F.col("root2")) & fits)
+    return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+
+
+def _texts(docs: DataFrame, key: str, text: str, carried: F.Column) -> DataFrame:
+    """Distinct texts with an id: t, text, first (struct<nameless, key>, the least key), copies, carried (of a row with that key).
+
+    Copies are counted before anything is shuffled, so a text that most rows hold is one row of each task. A null text
+    is one of its own for each key. Ids are given as the table is written, so all later plans read the same ones.
     """
-    found = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.md5(text).alias("t"))
-    signed = in_batches(found, lambda it: _sign_batches(it, words, bands, rows), "t string, n long, bands array<long>")
-    signed = written(signed.where("n > 0").groupBy("t").agg(F.first("n").alias("n"), F.first("bands").alias("bands")), "signed")
-    each = signed.select("t", "n", F.explode("bands").alias("band"))
+    first = F.struct(F.col(key).isNull().alias("nameless"), F.col(key).alias("key"))
+    t = F.coalesce(F.md5(text), F.concat(F.lit("null "), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    rows = docs.select(t.alias("t"), F.col(text).alias("text"), first.alias("first"), carried.alias("carried"))
+    out = rows.groupBy("t").agg(F.first("text").alias("text"), F.min("first").alias("first"), F.count(F.lit(1)).alias("copies"), F.min_by("carried", "first").alias("carried"))
+    return written(out.withColumn("id", F.monotonically_increasing_id()), "texts")
+
+
+def near_classes(texts: DataFrame, words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``(node, root)``: the id of each distinct text with a near copy, and of its class's least text. ``texts`` has id and text.
+
+    A band's bucket has a leader, the text that meets most others over all its buckets, and all its texts of similar
+    length are compared with it. Then buckets of at most ``FEW`` texts are compared throughout, and larger ones with a
+    second leader of another class. Texts of larger buckets that are still not one class are compared wherever they share
+    a rare shingle, which all similar ones do, so no link within a bucket is lost, however many texts it has.
+    """
+    signed = in_batches(texts.where(F.col("text").isNotNull()).select("text", "id"), lambda it: _sign_batches(it, words, bands, rows), "id long, n long, bands array<long>")
+    signed = written(signed.where("n > 0"), "signed")
+    each = signed.select("id", "n", F.explode("bands").alias("band"))
     full = each.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("band").alias("o"), "k")
-    member = written(each.join(full.hint("merge"), F.col("band") == F.col("o")).select("band", "k", "t", "n"), "buckets")
-    met = written(member.groupBy(F.col("t").alias("w")).agg(F.sum("k").alias("met")), "met")
-    member = written(member.join(met.hint("merge"), F.col("t") == F.col("w")).select("band", "k", "t", "n", "met"), "members")
-    texts = written(found.join(met.select("w").hint("merge"), F.col("t") == F.col("w"), "left_semi").groupBy("t").agg(F.first("text").alias("text")), "texts")
+    member = written(each.join(full.hint("merge"), F.col("band") == F.col("o")).select("band", "k", "id", "n"), "buckets")
+    release(signed)
+    met = written(member.groupBy(F.col("id").alias("w")).agg(F.sum("k").alias("met")), "met")
+    buckets, member = member, written(member.join(met.hint("merge"), F.col("id") == F.col("w")).select("band", "k", "id", "n", "met"), "members")
+    release(buckets)
+    some = written(texts.join(met.select("w").hint("merge"), F.col("id") == F.col("w"), "left_semi").select("id", "text"), "some")
     similar = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
-    classed = member.withColumn("root", F.col("t"))
-    links = leaders = None
-    for turn in range(ROUNDS):
-        free = classed if leaders is None else classed.join(leaders, (F.col("band") == F.col("ub")) & (F.col("t") == F.col("ut")), "left_anti")
-        lead = free.groupBy(F.col("band").alias("lb")).agg(F.max(F.struct("met", "t", "n", "root")).alias("l")).select("lb", F.col("l.t").alias("lt"), F.col("l.n").alias("ln"), F.col("l.root").alias("lr"))
-        lead = written(lead, "leaders")
-        apart = classed.join(lead, F.col("band") == F.col("lb")).where((F.col("root") != F.col("lr")) & similar(F.col("n"), F.col("ln")))
-        pairs = apart.select(F.least("t", "lt").alias("a"), F.greatest("t", "lt").alias("b"))
-        if turn == 1:
-            few = classed.where(F.col("k") <= FEW)
-            other = few.select(F.col("band").alias("band2"), F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
-            some = few.join(other, (F.col("band") == F.col("band2")) & (F.col("t") < F.col("t2")) & (F.col("root") != F.col("root2")) & similar(F.col("n"), F.col("n2")))
-            pairs = pairs.unionByName(some.select(F.col("t").alias("a"), F.col("t2").alias("b")))
-        pairs = written(pairs.distinct(), "pairs")
-        if turn > 1 and pairs.isEmpty():  # small buckets are compared in turn 1
-            break
-        new = written(_verified(pairs, texts, words, least), "links")
-        links = new if links is None else links.unionByName(new)
-        if turn == ROUNDS - 1:
-            break
-        known = written(hooked(links), "hooked")
-        last = classed.select("band", "k", "t", "n", "met").join(known, F.col("t") == F.col("node"), "left").select("band", "k", "t", "n", "met", F.coalesce("root", "t").alias("root"))
-        split = last.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
-        classed = written(last.join(split, F.col("band") == F.col("o"), "left_semi"), "apart")
-        # a leader's class has been compared with its bucket's texts by the leader
-        ruled = lead.select("lb", "lt").join(known, F.col("lt") == F.col("node"), "left").select(F.col("lb").alias("ub"), F.coalesce("root", "lt").alias("ur"))
-        done = classed.join(ruled, (F.col("band") == F.col("ub")) & (F.col("root") == F.col("ur")), "left_semi").select(F.col("band").alias("ub"), F.col("t").alias("ut"))
-        leaders = done if leaders is None else written(leaders.unionByName(done), "leaders")
-    classes = components(links)
-    # texts of large buckets that are not one class
-    left = classed.where(F.col("k") > FEW).select("band", "t").join(classes.hint("merge"), F.col("t") == F.col("node"), "left").select("band", "t", F.coalesce("root", "t").alias("root"))
-    split = left.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
-    rest = written(left.join(split, F.col("band") == F.col("o"), "left_semi").select("t", "root").distinct(), "rest")
+    ends = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    top = F.max(F.struct("met", "id", "n"))
+    lead = member.groupBy(F.col("band").alias("lb")).agg(top.alias("l")).select("lb", F.col("l.id").alias("li"), F.col("l.n").alias("ln"))
+    met_lead = member.join(lead.hint("merge"), F.col("band") == F.col("lb")).where((F.col("id") != F.col("li")) & similar(F.col("n"), F.col("ln")))
+    pairs = written(met_lead.select(*ends("id", "li")).distinct(), "pairs")
+    links = written(_verified(pairs, some, words, least), "links")
+
+    def apart(known: DataFrame) -> DataFrame:
+        """Members, with their roots, of buckets of several roots."""
+        rooted = member.join(known.hint("merge"), F.col("id") == F.col("node"), "left").select("band", "k", "id", "n", "met", F.coalesce("root", "id").alias("root"))
+        split = rooted.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
+        return written(rooted.join(split.hint("merge"), F.col("band") == F.col("o"), "left_semi"), "apart")
+
+    def compared(found: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links among pairs not compared before, and all pairs compared so far."""
+        gone = before.select(F.col("a").alias("ga"), F.col("b").alias("gb"))
+        new = written(found.distinct().join(gone.hint("merge"), (F.col("a") == F.col("ga")) & (F.col("b") == F.col("gb")), "left_anti"), "pairs")
+        return written(_verified(new, some, words, least), "links"), before.unionByName(new)
+
+    known = written(hooked(links), "hooked")
+    split = apart(known)
+    few = split.where((F.col("k") <= FEW) & (F.col("k") > 2))
+    other = few.select(F.col("band").alias("band2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
+    within = few.join(other.hint("merge"), (F.col("band") == F.col("band2")) & (F.col("id") < F.col("id2")) & (F.col("root") != F.col("root2")) & similar(F.col("n"), F.col("n2")))
+    many = split.where(F.col("k") > FEW)
+    ruled = lead.join(known.hint("merge"), F.col("li") == F.col("node"), "left").select("lb", F.coalesce("root", "li").alias("lr"))
+    second = many.join(ruled.hint("merge"), (F.col("band") == F.col("lb")) & (F.col("root") != F.col("lr"))).groupBy(F.col("band").alias("sb")).agg(F.max(F.struct("met", "id", "n", "root")).alias("l"))
+    met_second = many.join(second.hint("merge"), F.col("band") == F.col("sb")).where((F.col("root") != F.col("l.root")) & similar(F.col("n"), F.col("l.n")))
+    new, pairs = compared(within.select(F.col("id").alias("a"), F.col("id2").alias("b")).unionByName(met_second.select(*ends("id", "l.id"))), pairs)
+    classes = components(links.unionByName(new))
+    left = split.where(F.col("k") > FEW).select("band", "id").join(classes.hint("merge"), F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+    still = left.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
+    rest = written(left.join(still.hint("merge"), F.col("band") == F.col("o"), "left_semi").select("id", "root").distinct(), "rest")
+    release(split)
     if rest.isEmpty():
-        return classes.select(F.col("node").alias("t"), "root")
-    new = written(_verified(_shared_prefixes(rest, texts, words, least), texts, words, least), "links")
-    joined = components(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
-    return joined.select(F.col("node").alias("t"), "root")
+        return classes
+    new, _ = compared(_shared_prefixes(rest, some, words, least), pairs)
+    return components(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
+
+
+def _grouped(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """For each distinct text: id, t, class_id (the least key of its class), copies (rows of its class), leads (its row stays where one of a class does)."""
+    rows = texts.select("id", "t", "first", "copies").join(classes.hint("merge"), F.col("id") == F.col("node"), "left").select("id", "t", "first", "copies", F.coalesce("root", "id").alias("class"))
+    rows = written(rows, "rooted")
+    # written, so that the join below has plain exchanges on both sides and a large class can be split
+    sizes = written(rows.groupBy(F.col("class").alias("c")).agg(F.min(F.struct("first", "id")).alias("least"), F.sum("copies").alias("all")), "sizes")
+    out = rows.join(sizes.hint("merge"), F.col("class") == F.col("c"))
+    return out.select("id", "t", F.col("least.first.key").alias("class_id"), F.col("all").alias("copies"), (F.col("id") == F.col("least.id")).alias("leads"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
@@ -263,25 +290,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **
 
     Words are lower-cased runs of ASCII letters and digits and of all other scripts; two texts are near copies if the
     multisets of their 5-word shingles have a Jaccard similarity of 0.8 or more, and a class is all that such links
-    connect, equal texts included. Links of texts that share none of the 16 bands' buckets may be unseen. Texts without words are only copies of equal texts. A null text is like no other, and
-    its class is its own key. Repeated rows are copies. A class that holds only null keys has a null class_id. An empty table gives an empty table.
+    connect, equal texts included. Links of texts that share none of the 16 bands' buckets may be unseen. Texts without
+    words are only copies of equal texts. A null text is like no other, and its class is its own key. Repeated rows are
+    copies. A class that holds only null keys has a null class_id. An empty table gives an empty table. Columns may have
+    any names; other columns are not kept.
     """
-    classes = written(near_classes(docs, text, **settings).select(F.col("t").alias("node"), "root"), "classes")
-    rows = docs.select(F.col(key).alias("key"), F.md5(text).alias("t"))
-    rows = rows.join(classes.hint("merge"), F.col("t") == F.col("node"), "left")
-    null_class = F.concat(F.lit("null "), F.coalesce(F.col("key").cast("string"), F.lit("")))
-    rows = written(rows.select("key", F.coalesce("root", "t", null_class).alias("class")), "members")
-    # written, so that the join below has plain exchanges on both sides and a large class can be split
-    sizes = written(rows.groupBy(F.col("class").alias("c")).agg(F.min("key").alias("class_id"), F.count(F.lit(1)).alias("copies")), "sizes")
-    return rows.join(sizes.hint("merge"), F.col("class") == F.col("c")).select(F.col("key").alias(key), "class_id", "copies")
+    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = _texts(docs, "key", "text", F.lit(None).cast("boolean"))
+    found = written(_grouped(texts, near_classes(texts, **settings)).select(F.col("t").alias("ft"), "class_id", "copies"), "classes")
+    release(texts)
+    t = F.coalesce(F.md5("text"), F.concat(F.lit("null "), F.coalesce(F.col("key").cast("string"), F.lit(""))))
+    rows = docs.select("key", t.alias("t")).join(found.hint("merge"), F.col("t") == F.col("ft"))
+    return rows.select(F.col("key").alias(key), "class_id", "copies")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` that come first in their class (by key); of rows with equal key and text one stays."""
-    found = near_duplicates(docs, key, text, **settings).select(F.col(key).alias("_k"), "class_id").distinct()
-    first = written(found.where(F.col("_k").eqNullSafe(F.col("class_id"))).select("_k"), "first")
-    hashed = docs.withColumn("_t", F.coalesce(F.md5(text), F.lit("")))
-    again = hashed.groupBy(F.col(key).alias("_k2"), F.col("_t").alias("_t2")).count().where("count > 1")
-    if again.isEmpty():
-        return docs.join(first, docs[key].eqNullSafe(first["_k"]), "left_semi")
-    return docs.join(first, docs[key].eqNullSafe(first["_k"]), "left_semi").dropDuplicates([key, text])
+    """One row of ``docs`` for each class: that of the least key, null keys last; of rows with that key, any one of the class.
+
+    All columns are kept, whatever their names. Null texts are classes by key, see ``near_duplicates``. An empty table
+    gives an empty table. Rows are judged one by one: of a key that other rows repeat with texts of other classes, each
+    class's row stays.
+    """
+    texts = _texts(docs, key, text, F.struct(*[F.col(c) for c in docs.columns]))
+    found = _grouped(texts, near_classes(texts, **settings))
+    gone = written(found.where("not leads").select(F.col("id").alias("gone")), "gone")
+    # what goes is sent to where the texts are, unless it is large; then both sides are shuffled
+    few = gone.limit(MOST_SENT + 1).count() <= MOST_SENT
+    return texts.join(F.broadcast(gone) if few else gone.hint("merge"), F.col("id") == F.col("gone"), "left_anti").select("carried.*")
