@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsift.llm import op1_quality, op2_mixing, op3_decontamination, op5_token_files, op7_minhash
-from reelsift.shared import written
+from reelsift.shared import release, released_after, written
 
 #: A text with so many words inside benchmark windows holds a passage, and goes; fewer are cut out of it.
 PASSAGE_WORDS = 16
@@ -50,10 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; what each returns is written as Parquet and read again."""
+    """All stages on ``documents``; what each returns is written as Parquet and read again, and its scratch is removed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs, f"stage{i + 1}")
-    return docs
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        with released_after() as kept:
+            out = written(stage(spark, docs, sf_dir), f"stage{i + 1}")
+            kept.append(out)
+        release(docs)
+        docs = out
+    return STAGES[-1][1](spark, docs, sf_dir)
