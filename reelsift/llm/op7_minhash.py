@@ -158,7 +158,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa
 
 
 def _prefix_batches(batches: Iterator[pa.RecordBatch], words: int, least: float, often: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """From text, id and root: a text's rarest elements with id, root, n, and whether they are among the rarest for longer texts too."""
+    """From text, id and root: a text's rarest elements with id, root, n, place, and whether they are among the rarest for longer texts too."""
     for batch in batches:
         for a, b, (texts,) in text_slices(batch.column(0)):
             element, whose, n = _elements(texts, words)
@@ -171,8 +171,8 @@ def _prefix_batches(batches: Iterator[pa.RecordBatch], words: int, least: float,
             at = np.flatnonzero(place < longer[whose])
             row = pa.array(whose[at] + a)
             yield pa.record_batch(
-                [pa.array(element[at].view(np.int64)), batch.column(1).take(row), batch.column(2).take(row), pa.array(n[whose[at]].astype(np.int64)), pa.array(place[at] < shorter[whose[at]])],
-                names=["e", "id", "root", "n", "both"],
+                [pa.array(element[at].view(np.int64)), batch.column(1).take(row), batch.column(2).take(row), pa.array(n[whose[at]].astype(np.int64)), pa.array(place[at].astype(np.int64)), pa.array(place[at] < shorter[whose[at]])],
+                names=["e", "id", "root", "n", "place", "both"],
             )
 
 
@@ -190,16 +190,19 @@ def _shared_prefixes(rest: DataFrame, texts: DataFrame, words: int, least: float
     often = np.zeros(1 << SLOT_BITS, np.int64)
     often[slots["slot"].to_numpy()] = slots["c"].to_numpy()
     sent = spark.sparkContext.broadcast(often)
-    first = written(in_batches(held, lambda it: _prefix_batches(it, words, least, sent.value), "e long, id long, root long, n long, both boolean"), "prefixes")
+    first = written(in_batches(held, lambda it: _prefix_batches(it, words, least, sent.value), "e long, id long, root long, n long, place long, both boolean"), "prefixes")
     sent.destroy()
     release(held)
     by_root = first.groupBy("e", "root").agg(F.count(F.lit(1)).alias("k"))
     most = by_root.groupBy(F.col("e").alias("o")).agg(F.max(F.struct("k", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("o", F.col("m.root").alias("major"))
-    first = written(first.join(most.hint("merge"), F.col("e") == F.col("o")).select("e", "id", "root", "n", "both", "major"), "shared")
-    minor = first.where("root <> major").select(F.col("e").alias("e2"), F.col("id").alias("id2"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("both").alias("both2"))
+    most = written(most, "most")
+    first = written(first.join(most.hint("merge"), F.col("e") == F.col("o")).select("e", "id", "root", "n", "place", "both", "major"), "shared")
+    minor = first.where("root <> major").select(F.col("e").alias("e2"), F.col("id").alias("id2"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("place").alias("place2"), F.col("both").alias("both2"))
     longer = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("id") > F.col("id2"))
     fits = F.when(longer, F.col("both2") & (F.col("n2") >= F.col("n") * least - 1e-9)).otherwise(F.col("both") & (F.col("n") >= F.col("n2") * least - 1e-9))
-    met = first.join(minor.hint("merge"), (F.col("e") == F.col("e2")) & (F.col("root") != F.col("root2")) & fits)
+    # the first element that two texts share leaves room for all that they must share (positional filter)
+    room = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) >= F.ceil((F.col("n") + F.col("n2")) * (least / (1 + least)) - 1e-6)
+    met = first.join(minor.hint("merge"), (F.col("e") == F.col("e2")) & (F.col("root") != F.col("root2")) & fits & room)
     return met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
 
 
@@ -227,7 +230,8 @@ def near_classes(texts: DataFrame, words: int = WORDS, least: float = SIMILARITY
     signed = in_batches(texts.where(F.col("text").isNotNull()).select("text", "id"), lambda it: _sign_batches(it, words, bands, rows), "id long, n long, bands array<long>")
     signed = written(signed.where("n > 0"), "signed")
     each = signed.select("id", "n", F.explode("bands").alias("band"))
-    full = each.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("band").alias("o"), "k")
+    # what is joined with its own groups is written first, so that joins have plain exchanges and large buckets can be split
+    full = written(each.groupBy("band").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("band").alias("o"), "k"), "full")
     member = written(each.join(full.hint("merge"), F.col("band") == F.col("o")).select("band", "k", "id", "n"), "buckets")
     release(signed)
     met = written(member.groupBy(F.col("id").alias("w")).agg(F.sum("k").alias("met")), "met")
@@ -237,7 +241,7 @@ def near_classes(texts: DataFrame, words: int = WORDS, least: float = SIMILARITY
     similar = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
     ends = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     top = F.max(F.struct("met", "id", "n"))
-    lead = member.groupBy(F.col("band").alias("lb")).agg(top.alias("l")).select("lb", F.col("l.id").alias("li"), F.col("l.n").alias("ln"))
+    lead = written(member.groupBy(F.col("band").alias("lb")).agg(top.alias("l")).select("lb", F.col("l.id").alias("li"), F.col("l.n").alias("ln")), "leaders")
     met_lead = member.join(lead.hint("merge"), F.col("band") == F.col("lb")).where((F.col("id") != F.col("li")) & similar(F.col("n"), F.col("ln")))
     pairs = written(met_lead.select(*ends("id", "li")).distinct(), "pairs")
     links = written(_verified(pairs, some, words, least), "links")
@@ -245,7 +249,8 @@ def near_classes(texts: DataFrame, words: int = WORDS, least: float = SIMILARITY
     def apart(known: DataFrame) -> DataFrame:
         """Members, with their roots, of buckets of several roots."""
         rooted = member.join(known.hint("merge"), F.col("id") == F.col("node"), "left").select("band", "k", "id", "n", "met", F.coalesce("root", "id").alias("root"))
-        split = rooted.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
+        rooted = written(rooted, "rooted")
+        split = written(rooted.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o"), "split")
         return written(rooted.join(split.hint("merge"), F.col("band") == F.col("o"), "left_semi"), "apart")
 
     def compared(found: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -262,11 +267,13 @@ def near_classes(texts: DataFrame, words: int = WORDS, least: float = SIMILARITY
     many = split.where(F.col("k") > FEW)
     ruled = lead.join(known.hint("merge"), F.col("li") == F.col("node"), "left").select("lb", F.coalesce("root", "li").alias("lr"))
     second = many.join(ruled.hint("merge"), (F.col("band") == F.col("lb")) & (F.col("root") != F.col("lr"))).groupBy(F.col("band").alias("sb")).agg(F.max(F.struct("met", "id", "n", "root")).alias("l"))
+    second = written(second, "second")
     met_second = many.join(second.hint("merge"), F.col("band") == F.col("sb")).where((F.col("root") != F.col("l.root")) & similar(F.col("n"), F.col("l.n")))
     new, pairs = compared(within.select(F.col("id").alias("a"), F.col("id2").alias("b")).unionByName(met_second.select(*ends("id", "l.id"))), pairs)
     classes = components(links.unionByName(new))
     left = split.where(F.col("k") > FEW).select("band", "id").join(classes.hint("merge"), F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("root", "id").alias("root"))
-    still = left.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o")
+    left = written(left, "left")
+    still = written(left.groupBy(F.col("band").alias("o")).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("o"), "still")
     rest = written(left.join(still.hint("merge"), F.col("band") == F.col("o"), "left_semi").select("id", "root").distinct(), "rest")
     release(split)
     if rest.isEmpty():
