@@ -6,21 +6,25 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift.shared import scratch_path
+from reelsift.shared import scratch_path, written
+
+
+_RUN = "fp long, n int"
 
 
 class FingerprintLog:
     """Runs of ``(fp long, n int)``, each sorted by ``fp`` in every file and never changed once written.
 
-    ``append`` adds the fingerprints of a batch as a run; ``seen`` merge-joins a batch with the history;
-    ``compact`` merges all runs into one. ``n`` counts occurrences and stops at 2, which is all that
-    deduplication asks. The runs are Parquet in the folder that all executors share.
+    ``add`` merge-joins a batch with the history, which gives what is repeated by now, and appends the batch as a run;
+    beyond ``fanout`` runs, all are merged into one. ``n`` counts occurrences and stops at 2, which is all that
+    deduplication asks. The runs are Parquet in the folder that all executors share; a log that is opened with the path
+    and the runs of another goes on where that stopped.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = 4):
+    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = 2, runs: list[str] | None = None):
         self.spark, self.path, self.fanout = spark, path or scratch_path(spark, "log"), fanout
-        self.runs: list[str] = []
-        self._made = 0
+        self.runs = list(runs or [])
+        self._made = 1 + max((int(x.rsplit("run", 1)[1]) for x in self.runs), default=-1)
 
     def _write(self, rows: DataFrame) -> str:
         run = f"{self.path}/run{self._made}"
@@ -28,33 +32,39 @@ class FingerprintLog:
         rows.sortWithinPartitions("fp").write.parquet(run)
         return run
 
-    def append(self, batch: DataFrame) -> None:
-        """Adds a batch ``(fp, n)``; equal fingerprints are added up before and after the shuffle."""
-        self.runs.append(self._write(batch.groupBy("fp").agg(F.least(F.sum("n"), F.lit(2)).cast("int").alias("n"))))
+    def _read(self, run: str) -> DataFrame:
+        return self.spark.read.schema(_RUN).parquet(run)
+
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Adds a batch ``(fp, n)`` and returns ``fp`` for those of its fingerprints that are repeated, in it or with the history.
+
+        Equal fingerprints are added up before and after the shuffle.
+        """
+        new = self._write(batch.groupBy("fp").agg(F.least(F.sum("n"), F.lit(2)).cast("int").alias("n")))
+        own = self._read(new)
+        out = own.where("n >= 2").select("fp").unionByName(self.seen(own.where("n < 2")))
+        self.runs.append(new)
         if len(self.runs) > self.fanout:
+            out = written(out, "repeated")  # reads runs that compaction leaves behind
             self.compact()
-
-    def merged(self) -> DataFrame:
-        """All fingerprints with their counts, by merge joins of the runs."""
-        out = self.spark.createDataFrame([], "fp long, n int")
-        for i, run in enumerate(self.runs):
-            rows = self.spark.read.schema("fp long, n int").parquet(run)
-            if i == 0:
-                out = rows
-                continue
-            both = out.alias("a").hint("merge").join(rows.alias("b"), "fp", "full")
-            count = F.coalesce("a.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))
-            out = both.select("fp", F.least(count, F.lit(2)).alias("n"))
         return out
 
     def seen(self, batch: DataFrame) -> DataFrame:
-        """The rows of ``batch`` whose ``fp`` is in the history."""
-        return batch.hint("merge").join(self.merged().select("fp"), "fp", "left_semi")
+        """``fp`` of the rows of ``batch`` that are in the history: a merge join with each run."""
+        out = self.spark.createDataFrame([], "fp long")
+        for run in self.runs:
+            out = out.unionByName(batch.select("fp").join(self._read(run).select("fp").hint("merge"), "fp", "left_semi"))
+        return out
 
-    def repeated(self) -> DataFrame:
-        return self.merged().where("n >= 2").select("fp")
+    def merged(self) -> DataFrame:
+        """All fingerprints with their counts."""
+        out = self.spark.createDataFrame([], _RUN)
+        for run in self.runs:
+            out = out.unionByName(self._read(run))
+        return out.groupBy("fp").agg(F.least(F.sum("n"), F.lit(2)).cast("int").alias("n"))
 
     def compact(self) -> None:
+        """All runs as one. The old ones stay until the log's folder goes, so plans that read them still work."""
         self.runs = [self._write(self.merged())]
 
 
@@ -65,7 +75,7 @@ def bitmap(fps: DataFrame, bits: int) -> np.ndarray:
     executor; when it fills, it lets more through, and what it lets through is verified.
     """
     place = F.col("fp").bitwiseAND(F.lit((1 << bits) - 1))
-    words = fps.select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast(fp & 63 as int))").alias("bit"))
+    words = fps.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(fp & 63 as int))").alias("bit"))
     table = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[table["word"].to_numpy()] = table["bit"].to_numpy().view(np.uint64)

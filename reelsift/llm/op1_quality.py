@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelsift.llm.words import _RANDOM, BLANKS, PLAIN, as_bytes, in_batches, inside, mix, slices, tokens, window_hashes
+from reelsift.llm.words import _RANDOM, BLANKS, PLAIN, as_bytes, in_batches, inside, mix, slices, tokens, unused, window_hashes
 
 #: Hashed features; most labelled rows that the fit uses; texts a feature must be in to count; least tail probability.
 FEATURES, MOST_ROWS, LEAST_TEXTS, LEAST_TAIL = 1 << 18, 16_000, 5, 0.5
@@ -134,12 +134,18 @@ def graded(labels: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def train(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", n_grades: int = 3, size: int = FEATURES, most_rows: int = MOST_ROWS) -> Model:
-    """Fits on the at most ``most_rows`` rated keys whose hashes are least; only their features come to the driver."""
-    some = ratings.orderBy(F.xxhash64("rated"), "rated").limit(most_rows)
-    rows = docs.join(F.broadcast(some), F.col(key) == F.col("rated")).select(text, "grade")
-    rows = in_batches(rows, lambda it: _feature_batches(it, size), "grade int, features array<int>").limit(2 * most_rows).toArrow()
-    lists = rows["features"].combine_chunks()
-    return fit([x.values.to_numpy() for x in lists], rows["grade"].to_numpy(), n_grades, size)
+    """Fits on the at most ``most_rows`` rated keys whose hashes are least; only their features come to the driver.
+
+    ``ratings`` has rated (a key) and grade. Of rows that share a key one, the one of the least text, counts; keys that
+    no row has and null keys don't. A null text has the features of a text of no words. Without rated rows nothing is
+    rejected. ``docs`` may have any other columns.
+    """
+    some = F.broadcast(ratings.select("rated", "grade").orderBy(F.xxhash64("rated"), "rated").limit(most_rows))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(some, F.col("key") == F.col("rated"))
+    rows = rows.groupBy("rated").agg(F.min("text").alias("text"), F.first("grade").alias("grade"))
+    found = in_batches(rows.select("text", "grade"), lambda it: _feature_batches(it, size), "grade int, features array<int>").toArrow()
+    lists = found["features"].combine_chunks()
+    return fit([x.values.to_numpy() for x in lists], found["grade"].to_numpy(), n_grades, size)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", least: float = LEAST_TAIL) -> DataFrame:
@@ -153,4 +159,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", least: float = LEAS
     sent = docs.sparkSession.sparkContext.broadcast(model)
     size = len(model.weights)
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("expected_grade double, tail_probability double, keep boolean").fields])
-    return in_batches(docs.select("*", F.col(text).alias("_text")), lambda it: _score_batches(it, sent, size, least), schema)
+    return in_batches(docs.select("*", F.col(text).alias(unused(docs.columns, "_text")[0])), lambda it: _score_batches(it, sent, size, least), schema)

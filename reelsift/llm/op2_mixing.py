@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Pareto order sampling, in DataFrame operations only.
 
-Each source gets a target number of words. A document's expected copies are its source's target over its size: the
-whole part is certain, the rest is an inclusion probability. Documents are ranked by random odds over inclusion odds,
-and the first ones in rank whose words fit are taken. Cuts in rank are found from a histogram by source and rank, so a
-source that holds most rows is never sorted in one task; each row then decides by itself.
+Each source gets a target number of words, and shares it out among its documents by length: a long document is expected to
+be taken less often than a short one. The whole part of a document's expected copies is certain, the rest is its
+inclusion probability. Documents are ranked by random odds over inclusion odds, and the first ones in rank whose words
+fit are taken. Cuts in rank are found from a histogram by source and rank, so a source that holds most rows is never
+sorted in one task; each row then decides by itself.
 """
 
 from __future__ import annotations
@@ -14,111 +15,137 @@ from pyspark.sql import functions as F
 from reelsift.shared import written
 
 #: Cells of rank by source; only the cell that holds the cut is sorted.
-CELLS = 1024
+CELLS = 1 << 16
+#: A document of 2**k words has the weight LENGTHS - k, at least 1: whole numbers, so that sums don't depend on their order.
+LENGTHS = 24
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _targets(sizes: DataFrame, weights: tuple[float, ...], total: float, most: float) -> DataFrame:
-    """Target words by source: shares of ``total`` by weight, none above ``most`` times its source, the rest reshared.
+def _shared(rows: DataFrame, by: list[str], total: str) -> DataFrame:
+    """``rows`` and target: the share by weight of ``total`` (a column, equal within ``by``), none above limit, the rest reshared.
 
-    Sources at their limit come first by limit over weight, so the level at which the others share is found in one pass
-    in that order. One row for each source.
+    Rows at their limit come first by limit over weight, so the level at which the others share is found in one pass in
+    that order.
     """
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cycle = F.array(*[F.lit(float(w)) for w in weights])
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    s = sizes.withColumn("weight", F.get(cycle, (F.row_number().over(by_name) - 1) % len(weights)))
-    s = s.withColumn("limit", F.col("source_size") * float(most)).withColumn("share", F.sum("source_size").over(everything) * float(total))
-    order = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
+    part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    order = part.orderBy(F.col("limit") / F.col("weight"), F.col("name").asc_nulls_last())
     before = F.coalesce(F.sum("limit").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     rest = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
-    s = s.withColumn("level", (F.col("share") - before) / rest).withColumn("place", F.row_number().over(order))
+    s = rows.withColumn("level", (F.col(total) - before) / rest).withColumn("place", F.row_number().over(order))
     fits = F.col("level") <= F.col("limit") / F.col("weight")
-    s = s.withColumn("level", F.min(F.when(fits, F.struct("place", "level"))).over(everything)["level"])
-    return s.select("source", "source_size", F.coalesce(F.least("limit", F.col("level") * F.col("weight")), F.col("limit")).alias("target"))
+    s = s.withColumn("level", F.min(F.when(fits, F.struct("place", "level"))).over(part)["level"])
+    return s.withColumn("target", F.coalesce(F.least("limit", F.col("level") * F.col("weight")), F.col("limit"))).drop("level", "place")
+
+
+def _targets(sizes: DataFrame, weights: tuple[float, ...], total: float, most: float) -> DataFrame:
+    """(s, length, source_size, target, copies): target words by source, and expected copies of its documents by length.
+
+    ``sizes`` has s, length, words. There is one row for each source and length (below 64), so these tables are small.
+    """
+    cycle = F.array(*[F.lit(float(w)) for w in weights])
+    by_name = Window.orderBy(F.col("s").asc_nulls_last())
+    each = sizes.groupBy("s").agg(F.sum("words").alias("source_size"))
+    each = each.withColumn("weight", F.get(cycle, (F.row_number().over(by_name) - 1) % len(weights))).withColumn("limit", F.col("source_size") * float(most))
+    share = F.sum("source_size").over(Window.partitionBy(F.lit(0))) * float(total)
+    each = _shared(each.where("source_size > 0").withColumn("share", share).withColumn("name", F.col("s")), [], "share").select(F.col("s").alias("source"), "source_size", "target")
+    lengths = sizes.join(each, F.col("s").eqNullSafe(F.col("source")), "left").select("s", "length", "words", F.coalesce("source_size", F.lit(0)).alias("source_size"), F.coalesce("target", F.lit(0.0)).alias("whole"))
+    known = lengths.where("words > 0").withColumn("weight", F.greatest(F.lit(LENGTHS) - F.col("length"), F.lit(1)) * F.col("words").cast("double"))
+    known = _shared(known.withColumn("limit", F.col("words") * float(most)).withColumn("name", F.col("length")), ["s"], "whole")
+    known = known.select("s", "length", "source_size", F.col("whole").alias("target"), (F.col("target") / F.col("words")).alias("copies"))
+    none = lengths.where("words = 0").select("s", "length", "source_size", F.col("whole").alias("target"), F.lit(0.0).alias("copies"))
+    return known.unionByName(none)
 
 
 def _ranked(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """Certain copies, probability of one more, rank (random odds over inclusion odds) and its cell, for each row."""
-    targets = targets.withColumnRenamed("source", "_source")
-    rows = rows.join(targets, rows["_s"].eqNullSafe(targets["_source"]), "left").drop("_source")
-    copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = rows.withColumn("_whole", F.floor(copies)).withColumn("_p", copies - F.floor(copies))
-    u = (F.col("_h").bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
-    odds = (u / (1 - u)) / (F.col("_p") / (1 - F.col("_p")))
-    rows = rows.withColumn("_rank", F.when(F.col("_p") > 0, odds))
-    return rows.withColumn("_cell", F.floor(F.col("_rank") / (1 + F.col("_rank")) * CELLS).cast("int"))
+    """``rows`` (s, size, length, h) with their source's and length's numbers, certain copies (sure), rank and its cell."""
+    of = targets.select(F.col("s").alias("ts"), F.col("length").alias("tl"), "source_size", "target", "copies")
+    rows = rows.join(of, F.col("s").eqNullSafe(F.col("ts")) & (F.col("length") == F.col("tl"))).drop("ts", "tl")
+    p = F.col("copies") - F.floor("copies")
+    u = (F.conv(F.substring("h", 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
+    rank = F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))
+    rows = rows.withColumn("sure", F.floor("copies").cast("int")).withColumn("rank", rank)
+    return rows.withColumn("cell", F.floor(F.col("rank") / (1 + F.col("rank")) * CELLS).cast("int"))
 
 
-def _inside(cell: Column, rank: Column, h: Column) -> Column:
-    at_cut = (F.col("_cell") == cell) & ((F.col("_rank") < rank) | ((F.col("_rank") == rank) & (F.col("_h") <= h)))
-    return F.coalesce(F.col("_rank").isNotNull() & (F.col("_size") <= F.col("_fit")) & ((F.col("_cell") < cell) | at_cut), F.lit(False))
+def _inside() -> Column:
+    """Whether a row comes before its source's cut in rank and fits."""
+    at_cut = (F.col("cell") == F.col("cut")) & ((F.col("rank") < F.col("cut_rank")) | ((F.col("rank") == F.col("cut_rank")) & (F.col("h") <= F.col("cut_h"))))
+    return F.coalesce(F.col("rank").isNotNull() & (F.col("size") <= F.col("fit")) & ((F.col("cell") < F.col("cut")) | at_cut), F.lit(False))
 
 
 def _cuts(ranked: DataFrame) -> DataFrame:
     """Where each source stops in rank, and how many words are still missing there."""
-    need = F.col("target") - F.col("source_size") * F.floor(F.col("target") / F.col("source_size"))
+    sure = ranked.groupBy(F.col("s").alias("ns")).agg(F.first("target").alias("t"), F.sum(F.col("sure") * F.col("size")).alias("n"))
+    sure = written(sure.select("ns", (F.col("t") - F.col("n")).alias("need")), "needs")
     # a document larger than what is needed can't be taken, and must not stop the others
-    rows = ranked.where("_rank is not null").withColumn("_need", need).where("_size <= _need")
-    cells = rows.groupBy("_s", "_cell", "_need").agg(F.sum("_size").alias("_words"))
-    upto = Window.partitionBy("_s").orderBy("_cell")
-    cells = cells.withColumn("_before", F.sum("_words").over(upto) - F.col("_words"))
-    last = F.max(F.when(F.col("_before") <= F.col("_need"), F.struct("_cell", "_before", "_need")))
-    cut = cells.groupBy(F.col("_s").alias("_t")).agg(last.alias("_c")).select("_t", F.col("_c._cell").alias("_cut"), "_c._before", F.col("_c._need").alias("_want"))
+    rows = ranked.where("rank is not null").join(sure, F.col("s").eqNullSafe(F.col("ns"))).where("size <= need")
+    cells = rows.groupBy("s", "cell", "need").agg(F.sum("size").alias("words"))
+    cells = cells.withColumn("before", F.sum("words").over(Window.partitionBy("s").orderBy("cell")) - F.col("words"))
+    last = F.max(F.when(F.col("before") <= F.col("need"), F.struct("cell", "before", "need")))
+    cut = cells.groupBy(F.col("s").alias("t")).agg(last.alias("c")).select("t", F.col("c.cell").alias("cut"), F.col("c.before").alias("before"), F.col("c.need").alias("want"))
     cut = written(cut, "cells")
-    near = rows.join(cut, rows["_s"].eqNullSafe(cut["_t"]) & (F.col("_cell") == F.col("_cut")))
-    along = Window.partitionBy("_s").orderBy("_rank", "_h", "_size")
-    near = near.withColumn("_upto", F.col("_before") + F.sum("_size").over(along))
-    stop = near.where("_upto <= _want").groupBy(F.col("_s").alias("_u")).agg(F.max(F.struct("_rank", "_h", "_upto")).alias("_stop"))
-    out = cut.join(stop, cut["_t"].eqNullSafe(stop["_u"]), "left")
+    near = rows.join(cut, F.col("s").eqNullSafe(F.col("t")) & (F.col("cell") == F.col("cut")))
+    near = near.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("s").orderBy("rank", "h", "size")))
+    stop = near.where("upto <= want").groupBy(F.col("s").alias("u")).agg(F.max(F.struct("rank", "h", "upto")).alias("stop"))
+    out = sure.join(cut, F.col("ns").eqNullSafe(F.col("t")), "left").join(stop, F.col("ns").eqNullSafe(F.col("u")), "left")
     return out.select(
-        F.col("_t"), F.col("_cut"), F.coalesce("_stop._rank", F.lit(-1.0)).alias("_cut_rank"), F.coalesce("_stop._h", F.lit(0)).alias("_cut_h"),
-        F.col("_want").alias("_fit"), (F.col("_want") - F.coalesce("_stop._upto", "_before")).alias("_missing"), F.array().cast("array<long>").alias("_more"),
+        F.col("ns").alias("t"), F.coalesce("cut", F.lit(-1)).alias("cut"), F.coalesce("stop.rank", F.lit(-1.0)).alias("cut_rank"), F.coalesce("stop.h", F.lit("")).alias("cut_h"),
+        F.col("need").alias("fit"), (F.col("need") - F.coalesce("stop.upto", "before", F.lit(0))).alias("missing"), F.array().cast("array<string>").alias("more"),
     )
 
 
 def _filled(ranked: DataFrame, cuts: DataFrame) -> DataFrame:
     """The document beyond the cut that brings its source nearest to its target, where one does, joins those taken."""
-    rows = ranked.join(cuts, ranked["_s"].eqNullSafe(cuts["_t"]))
-    free = F.col("_rank").isNotNull() & ~_inside(F.col("_cut"), F.col("_cut_rank"), F.col("_cut_h")) & ~F.array_contains("_more", F.col("_h"))
-    rows = rows.where(free & (F.col("_size") > 0) & (F.col("_size") < 2 * F.col("_missing")))
-    best = rows.groupBy(F.col("_s").alias("_u")).agg(F.min(F.struct(F.abs(F.col("_size") - F.col("_missing")).alias("off"), "_rank", "_h", "_size")).alias("_b"))
-    out = cuts.join(best, cuts["_t"].eqNullSafe(best["_u"]), "left")
-    more = F.when(F.col("_b").isNotNull(), F.concat("_more", F.array("_b._h"))).otherwise(F.col("_more"))
-    return out.select("_t", "_cut", "_cut_rank", "_cut_h", "_fit", (F.col("_missing") - F.coalesce("_b._size", F.lit(0))).alias("_missing"), more.alias("_more"))
+    rows = ranked.join(cuts, F.col("s").eqNullSafe(F.col("t")))
+    free = F.col("rank").isNotNull() & ~_inside() & ~F.array_contains("more", F.col("h"))
+    rows = rows.where(free & (F.col("size") > 0) & (F.col("size") < 2 * F.col("missing")))
+    best = rows.groupBy(F.col("s").alias("u")).agg(F.min(F.struct(F.abs(F.col("size") - F.col("missing")).alias("off"), "rank", "h", "size")).alias("b"))
+    out = cuts.join(best, F.col("t").eqNullSafe(F.col("u")), "left")
+    more = F.when(F.col("b").isNotNull(), F.concat("more", F.array("b.h"))).otherwise(F.col("more"))
+    return out.select("t", "cut", "cut_rank", "cut_h", "fit", (F.col("missing") - F.coalesce("b.size", F.lit(0))).alias("missing"), more.alias("more"))
+
+
+def _copied(docs: DataFrame, key: str, text: str, source: str, weights: tuple[float, ...], total: float, most: float, seed: int, fills: int) -> DataFrame:
+    """row (struct of all columns), size, source_size, target, expected (copies), taken copies (n) for each row of ``docs``."""
+    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    h = F.md5(F.concat(F.lit(f"{seed} "), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(" "), F.coalesce(F.col(text), F.lit(""))))
+    length = F.when(F.col("size") > 0, F.length(F.bin("size")) - 1).otherwise(0)
+    rows = written(docs.select(F.col(source).alias("s"), size.alias("size"), h.alias("h")).withColumn("length", length), "sizes")
+    targets = written(_targets(rows.groupBy("s", "length").agg(F.sum("size").alias("words")), weights, total, most), "targets")
+    ranked = _ranked(rows, targets)
+    cuts = written(_cuts(ranked), "cuts")
+    for _ in range(fills):
+        cuts = written(_filled(ranked, cuts), "cuts")
+    whole = docs.select(F.struct("*").alias("row"), F.col(source).alias("s"), size.alias("size"), h.alias("h")).withColumn("length", length)
+    whole = _ranked(whole, targets).join(cuts, F.col("s").eqNullSafe(F.col("t")), "left")
+    one = _inside() | F.coalesce(F.array_contains("more", F.col("h")) & F.col("rank").isNotNull(), F.lit(False))
+    return whole.select("row", "size", "source_size", "target", F.col("copies").alias("expected"), (F.col("sure") + one.cast("int")).alias("n"))
 
 
 def mix_sources(
     docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
     weights: tuple[float, ...] = (5, 2, 1), total: float = 1.5, most: float = 2.0, seed: int = 1, fills: int = 2,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` and size, source_size, taken (long), target (double), copies (int).
+    """All rows and columns of ``docs`` and size, source_size, taken (long), target, expected (double), copies (int).
 
     ``size`` counts the words of the text (null: 0). Sources in code point order, null last, get the weights in turn and
-    share ``total`` times all words, none above ``most`` times its own. A document is taken ``copies`` times, so
-    ``taken`` = ``copies`` x ``size``, at most ``most`` times its size rounded up. Documents that fit are taken in rank until one
-    would pass the target, and up to ``fills`` documents that bring it nearest are added. Random numbers come
-    from key, text and ``seed``, so reruns agree and repeated rows are taken alike. Empty texts count 0 words. Columns
-    with the names above are replaced. An empty table gives an empty table.
+    share ``total`` times all words, none above ``most`` times its own. ``expected`` copies of a document fall with its
+    length, none above ``most``, so that those of a source add up to its target. A document is taken ``copies`` times, so
+    ``taken`` = ``copies`` x ``size``, at most ``most`` times its size rounded up. Documents that fit are taken in rank
+    until one would pass the target, and up to ``fills`` documents that bring it nearest are added. Random numbers come
+    from key, text and ``seed``, so reruns agree and repeated rows are taken alike. Empty texts count 0 words. Columns of
+    ``docs`` with the names above are replaced here; ``mixed`` keeps them. An empty table gives an empty table.
     """
-    docs = docs.drop("size", "source_size", "target", "copies", "taken")
-    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-    h = F.xxhash64(F.col(key), F.col(text), F.lit(seed))
-    rows = written(docs.select(F.col(source).alias("_s"), size.alias("_size"), h.alias("_h")), "sizes")
-    sizes = rows.groupBy(F.col("_s").alias("source")).agg(F.sum("_size").alias("source_size"))
-    targets = written(_targets(sizes, weights, total, most), "targets")
-    ranked = _ranked(rows, targets)
-    cuts = written(_cuts(ranked), "cuts")
-    for _ in range(fills):
-        cuts = written(_filled(ranked, cuts), "cuts")
-    whole = _ranked(docs.withColumns({"_s": F.col(source), "_size": size, "_h": h}), targets)
-    whole = whole.join(cuts, whole["_s"].eqNullSafe(cuts["_t"]), "left")
-    one = _inside(F.col("_cut"), F.col("_cut_rank"), F.col("_cut_h")) | F.coalesce(F.array_contains("_more", F.col("_h")) & F.col("_rank").isNotNull(), F.lit(False))
-    copies = (F.col("_whole") + one.cast("int")).cast("int")
-    return whole.select(*docs.columns, F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col("_size")).cast("long").alias("taken"))
+    rows = _copied(docs, key, text, source, weights, total, most, seed, fills)
+    made = ("size", "source_size", "target", "expected", "copies", "taken")
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in made]
+    return rows.select(*own, "size", "source_size", "target", "expected", F.col("n").alias("copies"), (F.col("n") * F.col("size")).cast("long").alias("taken"))
 
 
-def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as many times as it is taken, with the columns of ``docs``."""
-    out = mix_sources(docs, **settings).where("copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+def mixed(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+    weights: tuple[float, ...] = (5, 2, 1), total: float = 1.5, most: float = 2.0, seed: int = 1, fills: int = 2,
+) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as many times as it is taken, with just the columns of ``docs``, whatever their names."""
+    rows = _copied(docs, key, text, source, weights, total, most, seed, fills).where("n > 0")
+    return rows.select(F.explode(F.array_repeat("row", F.col("n"))).alias("row")).select("row.*")

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelsift.llm.words import PLAIN, Tokens, as_bytes, in_batches, inside, slices, tokens, window_hashes
+from reelsift.llm.words import PLAIN, Tokens, as_bytes, in_batches, inside, slices, tokens, unused, window_hashes
+from reelsift.shared import written
 
 WIDTH = 8
 #: Words of benchmark text in one broadcast (about 50 MB); a larger benchmark takes several passes over the texts.
@@ -89,7 +90,7 @@ def _scan(batches: Iterator[pa.RecordBatch], block, last: bool) -> Iterator[pa.R
                 where = np.flatnonzero(hit)
                 offsets = np.searchsorted(text_of[where], np.arange(b - a + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array((where - begin[text_of[where]]).astype(np.int32)))
-                made = {"_text": part.column(n - 3), "_hits": lists, "_items": pa.array(names, pa.list_(pa.string()))}
+                made = dict(zip(batch.schema.names[n - 3 :], (part.column(n - 3), lists, pa.array(names, pa.list_(pa.string()))), strict=True))
             else:
                 made = {
                     "n_words": pa.array(found.counts, pa.int64()),
@@ -139,12 +140,18 @@ def find_leaks(
     """
     spark = docs.sparkSession
     docs = docs.drop("n_words", "n_hit", "items", "clean")
-    parts = [spark.sparkContext.broadcast(x) for x in _blocks(benchmark, item, item_text, width, block_words)] or [spark.sparkContext.broadcast({})]
-    out = docs.select("*", F.col(text).alias("_text"), F.lit(None).cast("array<int>").alias("_hits"), F.lit(None).cast("array<string>").alias("_items"))
+    more = unused(docs.columns, "_text", "_hits", "_items")
+    kinds = ("string", "array<int>", "array<string>")
+    out = docs.select("*", F.col(text).alias(more[0]), *[F.lit(None).cast(k).alias(c) for c, k in zip(more[1:], kinds[1:], strict=True)])
     own = docs.schema.fields
-    through = StructType([*own, *_fields("_text string, _hits array<int>, _items array<string>")])
+    through = StructType([*own, *_fields(", ".join(f"{c} {k}" for c, k in zip(more, kinds, strict=True)))])
     result = StructType([*own, *_fields("n_words long, n_hit long, items array<string>, clean string")])
-    for i, part in enumerate(parts):
-        last = i == len(parts) - 1
-        out = in_batches(out, lambda it, part=part, last=last: _scan(it, part, last), result if last else through)
-    return out
+    held = None
+    for part in _blocks(benchmark, item, item_text, width, block_words):
+        if held is not None:  # one part is sent at a time; what a pass found is written
+            sent = spark.sparkContext.broadcast(held)
+            out = written(in_batches(out, lambda it, sent=sent: _scan(it, sent, False), through), "hits")
+            sent.destroy()
+        held = part
+    last = spark.sparkContext.broadcast(held or {})
+    return in_batches(out, lambda it: _scan(it, last, True), result)

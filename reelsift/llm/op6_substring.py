@@ -1,8 +1,9 @@
 """Substring dedup: words inside any window of words that starts more than once are removed.
 
 Sampled window hashes (the least hash of the 8-word pieces in a window) of all texts go, batch by batch, into a
-``FingerprintLog``. Windows with equal words have equal samples, so only windows whose sample is repeated can repeat;
-they are compared by a hash of all their words among those with the same sample.
+``FingerprintLog``, whose merge join with its history tells which are repeated. Windows with equal words have equal
+samples, so only windows with such a sample can repeat; they are verified by two hashes of all their words, 128 bits,
+among those with the same sample.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reelsift.llm.fingerprint_log import FingerprintLog, bitmap, in_bitmap
-from reelsift.llm.words import BLANKS, as_bytes, in_batches, inside, moving, slices, tokens, window_hashes
+from reelsift.llm.words import BLANKS, as_bytes, in_batches, inside, mix, moving, named, slices, tokens, unused, window_hashes
 
 WIDTH = 35
 PIECE = 8
@@ -45,7 +46,7 @@ def _sample_batches(batches: Iterator[pa.RecordBatch], width: int, piece: int) -
             yield pa.record_batch([pa.array(values.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int32))], names=["fp", "n"])
 
 
-_ROWS = "sample long, k1 long, k2 long, spans array<long>, fps array<long>, ns array<byte>"
+_ROWS = "sample long, k1 long, k2 long, spans array<long>, fps array<long>, also array<long>, ns array<byte>"
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch], width: int, piece: int, repeated) -> Iterator[pa.RecordBatch]:
@@ -67,7 +68,7 @@ def _windows(texts, k1, k2, width: int, piece: int, words: np.ndarray) -> pa.Rec
     at = np.flatnonzero((least != 0) & in_bitmap(least, words, BITS))
     if not len(at):
         return None
-    fps = window_hashes(found.ids, width)[at]
+    fps, also = window_hashes(found.ids, width)[at], window_hashes(mix(found.ids), width)[at]
     _, first, back, n = np.unique(fps, return_index=True, return_inverse=True, return_counts=True)
     again = n[back] > 1
     text = np.searchsorted(np.cumsum(found.counts), at, side="right")
@@ -84,15 +85,15 @@ def _windows(texts, k1, k2, width: int, piece: int, words: np.ndarray) -> pa.Rec
     entry_text = np.concatenate([text[one], text[run_at]])
     sample = np.concatenate([least[at[one]], fps[run_at] ^ (pos[run_at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))])
     span = np.concatenate([pos[one] << 32 | 1, pos[run_at] << 32 | run_len]).astype(np.int64)
-    fp = np.concatenate([fps[one], sample[len(one) :]])
+    fp, other = np.concatenate([fps[one], sample[len(one) :]]), np.concatenate([also[one], sample[len(one) :]])
     two = np.concatenate([np.where(n[back[one]] > 1, 2, 1), np.full(len(run_at), 2)]).astype(np.int8)
     order = np.lexsort([span, sample, entry_text])
-    entry_text, sample, span, fp, two = (x[order] for x in (entry_text, sample, span, fp, two))
+    entry_text, sample, span, fp, other, two = (x[order] for x in (entry_text, sample, span, fp, other, two))
     new = np.flatnonzero(np.concatenate([[True], (np.diff(entry_text) != 0) | (sample[1:] != sample[:-1])]))
     offsets = pa.array(np.append(new, len(span)).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (span, fp.view(np.int64), two)]
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (span, fp.view(np.int64), other.view(np.int64), two)]
     keys = [pa.array(sample[new].view(np.int64)), pa.array(k1[entry_text[new]]), pa.array(k2[entry_text[new]])]
-    return pa.record_batch([*keys, *lists], names=["sample", "k1", "k2", "spans", "fps", "ns"])
+    return pa.record_batch([*keys, *lists], names=["sample", "k1", "k2", "spans", "fps", "also", "ns"])
 
 
 def _kept_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -120,37 +121,40 @@ def _kept_batches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
             yield pa.record_batch([*part.columns, *made], names=[*part.schema.names, "n_words", "n_removed", "kept"])
 
 
-def sample_log(docs: DataFrame, text: str = "text", width: int = WIDTH, piece: int = PIECE, batches: int = 2) -> FingerprintLog:
-    """The log of sampled window hashes of all texts, filled in ``batches`` batches."""
-    log = FingerprintLog(docs.sparkSession)
+def repeated_samples(docs: DataFrame, log: FingerprintLog, text: str = "text", width: int = WIDTH, piece: int = PIECE, batches: int = 3) -> DataFrame:
+    """``fp`` of all sampled window hashes of the texts that are repeated, among them or in the log, to which they are added in batches."""
+    out = None
     for i in range(batches):
         batch = docs.where(F.pmod(F.xxhash64(text), F.lit(batches)) == i).select(text)
-        log.append(in_batches(batch, lambda it: _sample_batches(it, width, piece), "fp long, n int"))
-    return log
+        new = log.add(in_batches(batch, lambda it: _sample_batches(it, width, piece), "fp long, n int"))
+        out = new if out is None else out.unionByName(new)
+    return out
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, batches: int = 2) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, batches: int = 3) -> DataFrame:
     """All rows and columns of ``docs`` and n_words, n_removed (long) and kept (string; the words left, joined by a blank).
 
     Words are runs outside x20 and x09-x0D. A word goes if any window over it starts more than once in the input, in
     the same text or another. Null and empty texts have no words and keep "". A text of fewer than ``width`` words
     loses none. Repeated rows are copies of each other, so windows in them repeat; rows that also share ``key`` get the
-    same result. A null key counts as a key. Columns named n_words, n_removed or kept are replaced. An empty table gives
-    an empty table.
+    same result. A null key counts as a key. Columns named n_words, n_removed or kept are replaced; others
+    may have any names. An empty table gives an empty table.
     """
     spark: SparkSession = docs.sparkSession
-    docs = docs.drop("n_words", "n_removed", "kept")
+    own = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
+    schema = StructType([*(docs.schema[c] for c in own), *StructType.fromDDL("n_words long, n_removed long, kept string").fields])
+    docs = docs.select(F.struct(*[named(c) for c in own]).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
     piece = min(PIECE, width)
-    log = sample_log(docs, text, width, piece, batches)
-    repeated = spark.sparkContext.broadcast(bitmap(log.repeated(), BITS))
-    k1, k2 = F.coalesce(F.xxhash64(key), F.lit(0)).alias("k1"), F.xxhash64(text, F.lit(7)).alias("k2")
-    rows = in_batches(docs.select(text, k1, k2), lambda it: _window_batches(it, width, piece, repeated), _ROWS)
+    log = FingerprintLog(spark)
+    repeated = spark.sparkContext.broadcast(bitmap(repeated_samples(docs, log, "text", width, piece, batches), BITS))
+    k1, k2 = F.coalesce(F.xxhash64("key"), F.lit(0)).alias("k1"), F.xxhash64("text", F.lit(7)).alias("k2")
+    rows = in_batches(docs.select("text", k1, k2), lambda it: _window_batches(it, width, piece, repeated), _ROWS)
     # one exchange by sample serves the window below, whose partitions are parts of it
-    each = rows.repartition("sample").select("sample", "k1", "k2", F.explode(F.arrays_zip("spans", "fps", "ns")).alias("w"))
-    each = each.select("sample", "k1", "k2", F.col("w.spans").alias("span"), F.col("w.fps").alias("fp"), F.col("w.ns").alias("n"))
-    again = each.withColumn("n", F.sum("n").over(Window.partitionBy("sample", "fp"))).where("n >= 2")
+    each = rows.repartition("sample").select("sample", "k1", "k2", F.explode(F.arrays_zip("spans", "fps", "also", "ns")).alias("w"))
+    each = each.select("sample", "k1", "k2", F.col("w.spans").alias("span"), F.col("w.fps").alias("fp"), F.col("w.also").alias("also"), F.col("w.ns").alias("n"))
+    again = each.withColumn("n", F.sum("n").over(Window.partitionBy("sample", "fp", "also"))).where("n >= 2")
     spans = again.groupBy("k1", "k2").agg(F.collect_list("span").alias("_spans"))
-    whole = docs.select(*docs.columns, k1.alias("_k1"), k2.alias("_k2")).join(spans, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
-    out = whole.select(*docs.columns, F.col(text).alias("_text"), "_spans")
-    schema = StructType([*docs.schema.fields, *StructType.fromDDL("n_words long, n_removed long, kept string").fields])
+    whole = docs.select("row", "text", k1.alias("_k1"), k2.alias("_k2")).join(spans, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
+    said, gone = unused(own, "_text", "_spans")
+    out = whole.select(*[F.col("row").getField(c).alias(c) for c in own], F.col("text").alias(said), F.col("_spans").alias(gone))
     return in_batches(out, lambda it: _kept_batches(it, width), schema)

@@ -318,7 +318,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **setting
     gives an empty table. Rows are judged one by one: of a key that other rows repeat with texts of other classes, each
     class's row stays.
     """
-    texts = _texts(docs, key, text, F.struct(*[F.col(c) for c in docs.columns]))
+    texts = _texts(docs, key, text, F.struct("*"))
     found = _grouped(texts, near_classes(texts, **settings))
     gone = written(found.where("not leads").select(F.col("id").alias("gone")), "gone")
     # what goes is sent to where the texts are, unless it is large; then both sides are shuffled

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelsift.llm.words import in_batches
+from reelsift.llm.words import in_batches, unused
 
 #: elements whose content is never shown as text, or is a control.
 SILENT = frozenset("script style title textarea noscript template iframe svg object canvas annotation audio video select button option datalist".split())
@@ -269,4 +269,4 @@ def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """
     pages = pages.drop("main_text")
     schema = StructType([*pages.schema.fields, *StructType.fromDDL("main_text string").fields])
-    return in_batches(pages.select("*", F.col(html).alias("_html")), _extract_batches, schema)
+    return in_batches(pages.select("*", F.col(html).alias(unused(pages.columns, "_html")[0])), _extract_batches, schema)

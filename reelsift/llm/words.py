@@ -8,7 +8,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text handled at once by a Python worker; one longer text is handled alone.
@@ -80,9 +81,26 @@ def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterato
     now = str(conf.get(setting)).lower().removesuffix("b")
     if not now.isdigit() or int(now) > BATCH_BYTES:
         conf.set(setting, str(BATCH_BYTES))
+    if any("." in c for c in df.columns):  # mapInArrow looks columns up by name, where a dot is a field; results go by place
+        df = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     return df.mapInArrow(work, schema)
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(taken: list[str], *names: str) -> list[str]:
+    """The names, with marks added until no column has them (Spark doesn't tell case apart)."""
+    have, out = {x.lower() for x in taken}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def as_bytes(column) -> list[bytes | None]:
     """UTF-8 bytes of an Arrow string column."""
     return column.cast(pa.binary()).to_pylist()

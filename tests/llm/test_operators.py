@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from reelsift.llm.fingerprint_log import FingerprintLog
 from reelsift.llm import op1_quality, op2_mixing, op3_decontamination, op4_lines, op5_token_files, op6_substring, op7_minhash, op8_images, op9_html, op10_chat
 
 SCHEMA = "doc_id long, text string, source string, size long"
@@ -45,21 +46,49 @@ def plain_words(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
 
+def water(items, total, most):
+    """Targets by weight of (name, words, weight), none above ``most`` times its words, by resharing until none is."""
+    out, free = {}, list(items)
+    while free:
+        level = (total - sum(out.values())) / sum(w for _, _, w in free)
+        over = [x for x in free if level * x[2] > most * x[1]]
+        if not over:
+            return out | {n: level * w for n, _, w in free}
+        out |= {n: most * words for n, words, _ in over}
+        free = [x for x in free if x not in over]
+    return out
+
+
 def test_mixing(spark, docs, empty):
     out = op2_mixing.mix_sources(docs).collect()
     sizes = collections.Counter()
     for r in out:
         assert r.size == len(words(r.text)) and r.taken == r.copies * r.size <= 2 * r.size
         sizes[r.source] += r.size
-    targets = {r.source: r.target for r in out}
-    assert abs(sum(targets.values()) - 1.5 * sum(sizes.values())) < 1e-6 and all(targets[s] <= 2 * sizes[s] + 1e-9 for s in sizes)
+    names = sorted(sizes, key=lambda x: (x is None, x))
+    want = water([(n, sizes[n], (5, 2, 1)[i % 3]) for i, n in enumerate(names) if sizes[n]], 1.5 * sum(sizes.values()), 2)
+    for r in out:
+        assert r.source_size == sizes[r.source] and abs(r.target - want[r.source]) < 1e-6 * want[r.source]
+    for s in names:
+        assert abs(sum(r.expected * r.size for r in out if r.source == s) - want[s]) < 1e-6 * want[s]
     # near the targets where no document is most of its source and no row is repeated
     even = op2_mixing.mix_sources(docs.where("doc_id < 200").dropDuplicates(["doc_id"])).collect()
     for s, target in {r.source: r.target for r in even}.items():
         assert abs(sum(r.taken for r in even if r.source == s) - target) <= 60
     assert sorted(out, key=str) == sorted(op2_mixing.mix_sources(docs).collect(), key=str)
-    assert op2_mixing.mixed(docs).count() == sum(r.copies for r in out)
-    assert op2_mixing.mix_sources(empty).count() == 0
+    mixed = op2_mixing.mixed(docs.withColumn("row", F.lit("x")).withColumn("n", F.lit(1)).withColumn("cut", F.lit(2)))
+    assert mixed.columns == [*docs.columns, "row", "n", "cut"] and mixed.count() == sum(r.copies for r in out) and mixed.where("size <> 0").isEmpty()
+    assert op2_mixing.mix_sources(empty).count() == 0 and op2_mixing.mixed(empty).count() == 0
+
+
+def test_mixing_inclusion_frequencies(spark):
+    """Short documents are taken as often as their expected copies say, and so are long ones."""
+    rows = [(i, " ".join(["w"] * (20 if i % 2 else 400)), "a" if i < 4000 else "b") for i in range(6000)]
+    out = op2_mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), total=0.6)
+    seen = {(r.source, r.size): r for r in out.groupBy("source", "size").agg(F.avg("copies").alias("got"), F.avg("expected").alias("want")).collect()}
+    assert all(seen[x, 20].want > seen[x, 400].want for x in "ab")
+    for r in seen.values():
+        assert abs(r.got - r.want) < 0.04, r
 
 
 @pytest.mark.parametrize("block", [20, 100_000])
@@ -133,6 +162,36 @@ def test_substrings(spark, docs, empty, width):
     assert op6_substring.remove_repeats(empty).count() == 0
 
 
+def test_fingerprint_log(spark, tmp_path):
+    batches, count = [[1, 2, 2, 3], [3, 4, 4], [5, 1], [6, 6, 2], [7]], collections.Counter()
+    log = FingerprintLog(spark, f"file://{tmp_path}/log", fanout=2)
+    for k, fps in enumerate(batches):
+        new = log.add(spark.createDataFrame([(x, 1) for x in fps], "fp long, n int"))
+        count.update(fps)
+        assert sorted(r.fp for r in new.collect()) == sorted({x for x in fps if count[x] > 1})
+        assert len(log.runs) <= 2
+        if k == 2:  # goes on where another stopped
+            log = FingerprintLog(spark, log.path, fanout=2, runs=log.runs)
+    assert {r.fp: r.n for r in log.merged().collect()} == {x: min(n, 2) for x, n in count.items()}
+
+
+def test_clashing_names(spark):
+    rows = [(i, f"alpha beta gamma delta {i // 2} epsilon\nlast line of {i // 3} here", f"s{i % 2}") for i in range(8)] + [(None, None, None), (3, "", "s1")]
+    odd = ["row", "key", "h", "s", "t", "k1", "k2", "_spans", "_text", "c", "id", "n", "first", "grade", "rated", "_h", "_k", "_g", "_kept", "carried", "copies", "text_", "line.s"]
+    docs = spark.createDataFrame([(*r, *range(len(odd))) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"`{x}` long" for x in odd))
+    want = {x: i for i, x in enumerate(odd)}
+    keep = lambda df: [tuple(r[x] for x in odd if x != "copies") for r in df.collect()]
+    same = tuple(v for x, v in want.items() if x != "copies")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(8)], "doc_id long, quality int, toxic int")
+    for out, n in (
+        (op2_mixing.mix_sources(docs), 10), (op4_lines.dedup_lines(docs), 10), (op6_substring.remove_repeats(docs, width=3), 10),
+        (op3_decontamination.find_leaks(docs, docs.select(F.col("doc_id").alias("item_id"), "text")), 10),
+        (op1_quality.score(docs, op1_quality.train(docs, op1_quality.graded(labels))), 10), (op7_minhash.keep_one(docs), None),
+    ):
+        found = keep(out)
+        assert set(found) == {same} and (n is None or len(found) == n)
+
+
 def test_near_copies(spark, docs, empty):
     rows = documents()
     bags = [collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter() for _, t, _, _ in rows for w in [plain_words(t)]]
@@ -200,6 +259,92 @@ def test_images(spark):
     assert op8_images.copy_search(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_image_copies_are_found_after_edits():
+    r = np.random.default_rng(5)
+    images = [np.kron(np.clip(128 + 400 * v, 0, 255).reshape(8, 8), np.ones((12, 12))).astype(np.uint8).astype(float) for v in r.normal(0, 0.125, (40, 64))]
+    index = [op8_images.points(g, (1.0,)) for g in images]
+    edits = {
+        "noise": lambda g: np.clip(g + r.normal(0, 10, g.shape), 0, 255), "half": lambda g: g[:, :48], "turned": lambda g: np.rot90(g), "upside down": lambda g: np.rot90(g, 2),
+        "smaller": lambda g: op8_images._resized(g, 0.75), "larger": lambda g: op8_images._resized(g, 1.5), "darker": lambda g: g * 0.6,
+    }
+    for name, edit in edits.items():
+        found = [[op8_images.agreeing(asked, x) >= op8_images.AGREE for x in index] for asked in (op8_images.points(np.rint(edit(g)), op8_images.SCALES) for g in images[::2])]
+        assert sum(own[2 * k] for k, own in enumerate(found)) >= 18, name
+        assert sum(map(sum, found)) - sum(own[2 * k] for k, own in enumerate(found)) <= 1, name
+
+
+def test_image_search_of_odd_images(spark):
+    r = np.random.default_rng(6)
+    good = np.kron(r.integers(0, 255, (8, 8)), np.ones((12, 12))).astype(np.uint8).tobytes()
+    rows = [(1, 96, 96, good), (2, 96, 96, good), (3, None, 96, good), (4, 96, 96, None), (5, 0, 0, b""), (6, 4, 4, b"0" * 16), (7, 90, 96, good)]
+    images = spark.createDataFrame(rows, "id long, width int, height int, pixels binary")
+    out = {x.id: x for x in op8_images.find_copies(images, images.unionByName(images)).collect()}
+    assert len(out[1].copies) == 1 and out[1].copies == out[2].copies and all(out[i].copies == [] and out[i].n_points == 0 for i in (3, 4, 5, 6, 7))
+    assert op8_images.edited(images.where("id = 4")).first().pixels is None
+
+
+@pytest.mark.parametrize("name", ["op2_source_mix", "op3_decontamination", "op4_line_dedup", "op6_substring_dedup", "op7_minhash", "op10_chat_format"])
+def test_queries_match_sql(spark, name):
+    import duckdb
+
+    from reelsift.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    with duckdb.connect() as con:
+        for t in ("documents", "benchmark", "conversations"):
+            con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
+        sql = con.sql(queries.ORACLE_SQL[name])
+        columns, want = sql.columns, sql.fetchall()
+    found = queries.QUERIES[name](spark, sf)
+    assert sorted(found.columns) == sorted(columns)
+    assert sorted(map(str, (tuple(r[c] for c in columns) for r in found.collect()))) == sorted(map(str, want))
+
+
+LONG = "This is the text of the page that is here for all of us to read and it has the words that it needs. "
+
+
+@pytest.mark.parametrize("page", ["<a " * 300_000, "<li>a" * 100_000, '<a "' * 200_000, "<a b='" * 100_000, "<div>" * 80_000 + "</p>" * 80_000, "<td>" * 100_000])
+def test_html_in_linear_time(page):
+    import time
+
+    start = time.time()
+    op9_html.extract(page)
+    assert time.time() - start < 5
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="content has-sidebar"><p>{LONG}', f'<div class="post no-comments"><p>{LONG}</div>', f'<body><li class="share">x<p>{LONG}', f"<article><h2><a href=x>Teaser</a></h2></article><div><p>{LONG}",
+        f"<article><header><h1></h1></header><p>{LONG}</article>", f'<a href="x>link</a><p>{LONG}', f'<p>{LONG}<span class="ad">Buy <span>now</span></span>', f"<nav><ul><li>one<li>two</ul></nav><p>{LONG}<footer>{LONG}</footer>",
+    ],
+)
+def test_html_hints(page):
+    assert LONG.strip() in op9_html.extract(page) and "Buy" not in op9_html.extract(page) and "one" not in op9_html.extract(page) and op9_html.extract(page).count("This is") == 1
+
+
+def test_html_densities_decide(monkeypatch):
+    junk = "Lorem xq ipsvm dolr zit amqt consecq adipz elitq sedq eiuzmod temqor incidz labqre dolqre magnq aliqz. "
+    page = f"<body><div>{junk}</div><div>{LONG}</div><div>Short one.</div><div>{LONG}</div><div><a href=x>{LONG}</a></div><div>{junk}</div></body>"
+    assert op9_html.extract(page) == "\n".join([LONG.strip(), "Short one.", LONG.strip()])
+    assert op9_html.extract("<p>One short paragraph.") == "One short paragraph."
+    assert op9_html.extract(f"<p>{junk}") == junk.strip()  # a language without known stop words
+    monkeypatch.setattr(op9_html, "STOP", frozenset())
+    assert junk.strip() in op9_html.extract(page)
+
+
+def test_html_given_pages():
+    """The given pages have one article of headings and paragraphs, which a plain rule finds."""
+    import html
+
+    import pyarrow.parquet as pq
+
+    for row in pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist():
+        body = re.search(r"<article>(.*?)</article>", row["html"], re.S)[1]
+        parts = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", re.sub("<br>", " ", x)))).strip() for x in re.split(r"</?(?:h1|p|ul|li|ol|div|blockquote)[^>]*>", body)]
+        assert op9_html.extract(row["html"]) == "\n".join(x for x in parts if x)
+
+
 def test_html(spark):
     page = """<html><head><title>t</title><script>"<p>no</p>"</script></head><body><nav><a href=x>menu</a></nav><div class="cookie-notice">We use</div>
     <article><h1>A &amp; B</h1><p>Short.<p>One<b>two</b>  three<br>four &lt;x&gt;<p>The last of the page is a text of many words that the reader will see here.</p>
