@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from reelsift.functions.numbers import number
 
 
+_CONTROL = {"n": "\n", "t": "\t", "r": "\r", "a": "\a", "f": "\f", "v": "\v"}
+
+
+def stripped_blanks(x: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+
+
 def collapse(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
 
@@ -20,15 +28,34 @@ def truncate(x: Column, limit: int = 400) -> Column:
 
 
 def replace_words(x: Column, rules: dict[str, str]) -> Column:
-    """Whole words, in any case, one rule after another; "\\1" style groups and "$" in targets are plain Java text."""
+    """Whole words, in any case, one rule after another. Targets are templates, see ``template``."""
     for word, target in rules.items():
-        x = F.regexp_replace(x, rf"(?iU)\b\Q{word}\E\b", re.sub(r"([\\$])", r"\\\1", target))
+        x = F.regexp_replace(x, rf"(?iU)\b\Q{word}\E\b", template(target))
     return x
 
 
+def template(target: str) -> str:
+    """A replacement in Java's form: "\\g<0>" is the word found, "\\n", "\\t" and the like are control characters, "\\\\" is a backslash."""
+
+    def one(m: re.Match) -> str:
+        if m[1] is None:
+            return "\\$" if m[0] == "$" else m[0]
+        if m[1] == "g<0>":
+            return "$0"
+        if m[1] == "\\":
+            return "\\\\"
+        if m[1] in _CONTROL:
+            return _CONTROL[m[1]]
+        if m[1].isalnum():
+            raise ValueError(f"bad escape \\{m[1]} in {target!r}")
+        return "\\\\" + m[1]
+
+    return re.sub(r"\\(g<0>|.)|\$", one, target, flags=re.S)
+
+
 def content_label(x: Column, labels: tuple[str, ...]) -> Column:
     """A known label; any other is "other" where that is one, else null."""
-    c = F.lower(F.trim(x))
+    c = F.lower(stripped_blanks(x))
     out = F.when(c.isin(*labels), c)
     return out.otherwise(F.lit("other")) if "other" in labels else out
 

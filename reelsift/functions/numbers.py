@@ -40,7 +40,8 @@ def clamp(x: Column, low: float = 0.0, high: float = 1.0) -> Column:
 
 
 def rounded(x: Column, digits: int) -> Column:
-    return F.round(x, digits)
+    """Halves go to the even digit."""
+    return F.bround(x, digits)
 
 
 def band_score(x: Column, low: float, high: float, floor: float = 0.0, ceiling: float = 1.0) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,16 +18,15 @@ CODECS = {"h265": "hevc", "avc": "h264", "avc1": "h264"}
 @dataclass(frozen=True)
 class TechnicalPolicy:
     min_duration: float = 1.0
-    max_duration: float = 60.0
+    max_duration: float = 7200.0
     min_width: int = 256
     min_height: int = 256
-    min_fps: float = 10.0
+    min_fps: float = 8.0
     reject_unknown_fps: bool = True
-    codecs: tuple[str, ...] = ()
+    codecs: tuple[str, ...] = ("h264", "hevc", "vp9", "av1", "mpeg4")
     require_audio: bool = False
-    max_av_duration_diff: float | None = None
+    max_av_duration_diff: float | None = 1.0
     target_fps: float = 24.0
-    extra: dict = field(default_factory=dict)
 
 
 def parse_payload(payload: Column, size: Column) -> Column:
@@ -41,13 +40,14 @@ def parse_payload(payload: Column, size: Column) -> Column:
     duration = F.coalesce(positive(p["format"]["duration"]), positive(video["duration"]))
     rate = lambda x: F.when(ratio(x) > 0, ratio(x))
     fps = F.coalesce(rate(video["avg_frame_rate"]), rate(video["r_frame_rate"]), positive(video["nb_frames"]) / duration)
-    whole = payload.isNotNull() & F.trim(payload).startswith("{") & F.try_parse_json(payload).isNotNull()
+    # one whole object: keys may come again, and white space may be round it
+    whole = payload.rlike(r"(?s)^\s*\{.*\}\s*$") & F.json_object_keys(payload).isNotNull()
     return F.struct(
         size.cast("long").alias("file_size_bytes"), duration.alias("duration_sec"), positive(audio["duration"]).alias("audio_duration_sec"),
         positive_int(video["width"]).cast("int").alias("width"), positive_int(video["height"]).cast("int").alias("height"), fps.alias("fps"),
         stripped(video["codec_name"]).alias("video_codec"), stripped(audio["codec_name"]).alias("audio_codec"), audio.isNotNull().alias("has_audio"),
         stripped(p["format"]["format_name"]).alias("format_name"), positive_int(p["format"]["bit_rate"]).alias("bit_rate"), stripped(video["pix_fmt"]).alias("pixel_format"),
-        F.when(~whole, "unreadable payload").alias("probe_error"),
+        F.when(F.coalesce(~whole, F.lit(True)), "unreadable payload").alias("probe_error"),
     )
 
 
@@ -67,7 +67,7 @@ def technical_block(p: Column, reasons: Column, target_fps: float) -> Column:
     audio = F.when(p["has_audio"], p["audio_duration_sec"])
     return F.struct(
         rounded(p["duration_sec"], 3).alias("duration"), rounded(p["fps"], 3).alias("fps_original"), rounded(processed_fps(p["fps"], target_fps), 3).alias("fps_processed"),
-        p["width"].alias("width"), p["height"].alias("height"), p["video_codec"].alias("codec"), p["has_audio"].alias("audio_present"),
+        p["width"].alias("width"), p["height"].alias("height"), canonical_codec(p["video_codec"]).alias("codec"), p["has_audio"].alias("audio_present"),
         rounded(audio, 3).alias("audio_duration"), rounded(F.abs(p["duration_sec"] - audio), 3).alias("av_duration_diff"), (F.size(reasons) == 0).alias("technical_ok"),
     )
 

@@ -14,9 +14,9 @@ from reelsift.functions.probe import codes
 class FilterPolicy:
     """Thresholds; None switches a rule off."""
 
-    min_aesthetic: float | None = None
-    max_watermark: float | None = None
-    max_text_area: float | None = None
+    min_aesthetic: float | None = 0.2
+    max_watermark: float | None = 0.95
+    max_text_area: float | None = 0.85
     require_visual: bool = False
     min_semantic_consistency: float | None = None
     min_temporal_coverage: float | None = None
@@ -25,10 +25,10 @@ class FilterPolicy:
     require_vlm: bool = False
     min_video_text_cosine: float | None = None
     require_video_text: bool = False
-    max_silence_ratio: float | None = None
+    max_silence_ratio: float | None = 0.95
     min_rms: float | None = None
-    max_clipping_ratio: float | None = None
-    reject_near_duplicates: bool = True
+    max_clipping_ratio: float | None = 0.02
+    reject_near_duplicates: bool = False
     reject_labels: tuple[str, ...] = ()
     require_content: bool = False
 

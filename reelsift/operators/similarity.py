@@ -1,7 +1,7 @@
 """Nearest neighbours, similarity links, clusters and near duplicates of embeddings.
 
-All vectors meet all others block by block: each row block is multiplied with each column block in float32, so a task
-holds two blocks and memory doesn't grow with the input. Links and the nearest row come from the same pass.
+All vectors meet all others block by block: each pair of blocks is multiplied once in float32, so a task holds two blocks
+and memory doesn't grow with the input. Links and the nearest rows come from the same pass.
 """
 
 from __future__ import annotations
@@ -10,13 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelsift.shared import written
 
-#: Vectors in a block.
-BLOCK = 2048
+#: Vectors in a block, and most bytes of all blocks that are broadcast.
+BLOCK, MOST_BYTES = 2048, 64 << 20
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -36,9 +36,22 @@ def unit(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
+    """Null for null, empty or unequal vectors and for zero ones; ``cosine_or_error`` tells why."""
     return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
 
 
+def cosine_or_error(a: Column, b: Column) -> Column:
+    """struct<value, error>: the cosine, or what is wrong with the vectors."""
+    wrong = F.when(a.isNull() | b.isNull(), "no vector").when(F.size(a) != F.size(b), "vectors of unequal length").when((norm(a) == 0) | (norm(b) == 0) | (F.size(a) == 0), "zero vector")
+    return F.struct(cosine(a, b).alias("value"), wrong.alias("error"))
+
+
+def unit_or_error(a: Column) -> Column:
+    """struct<value, error>: the unit vector; a zero, empty or null vector is an error."""
+    wrong = F.when(a.isNull() | (F.size(a) == 0), "no vector").when(norm(a) == 0, "zero vector")
+    return F.struct(F.when(wrong.isNull(), unit(a)).alias("value"), wrong.alias("error"))
+
+
 def _blocks(vectors: DataFrame) -> DataFrame:
     """Rows of (block, dims, ids, data): vectors of one length packed together."""
     usable = vectors.where(F.size("embedding") > 0).select(F.col("clip_idx").cast("long").alias("id"), F.col("embedding").cast("array<float>").alias("v"))
@@ -63,35 +76,48 @@ def _blocks(vectors: DataFrame) -> DataFrame:
 
 
 def _meet(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """For two blocks: each left row's nearest right row (ties: least id), and all right rows above the threshold."""
+    """For two blocks: each row's nearest row of the other (ties: least id), and all pairs above the threshold; one product serves both."""
     for batch in batches:
         for i in range(batch.num_rows):
             dims, left, a, right, b = (batch.column(k)[i] for k in range(5))
             li, ri = left.values.to_numpy(), right.values.to_numpy()
-            order = np.argsort(ri, kind="stable")
-            ri = ri[order]
-            x = np.frombuffer(a.as_py(), np.float32).reshape(-1, dims.as_py())
-            y = np.frombuffer(b.as_py(), np.float32).reshape(-1, dims.as_py())[order]
-            sims = x @ y.T
+            x, y = (np.frombuffer(v.as_py(), np.float32).reshape(-1, dims.as_py()) for v in (a, b))
+            rows, columns = np.argsort(li, kind="stable"), np.argsort(ri, kind="stable")
+            li, ri = li[rows], ri[columns]
+            sims = x[rows] @ y[columns].T
             sims[li[:, None] == ri[None, :]] = -np.inf
-            best = sims.argmax(axis=1)
-            top = sims[np.arange(len(li)), best]
-            some = np.isfinite(top)
-            r, c = np.nonzero((sims >= np.float32(least)) & (li[:, None] < ri[None, :]))
-            yield pa.record_batch(
-                [pa.array(np.concatenate([li[some], li[r]])), pa.array(np.concatenate([ri[best[some]], ri[c]])), pa.array(np.concatenate([top[some], sims[r, c]]), pa.float32()), pa.array(np.arange(some.sum() + len(r)) >= some.sum())],
-                names=["a", "b", "sim", "link"],
-            )
+            parts = [(li, ri, sims.argmax(axis=1), sims.max(axis=1))]
+            same = len(li) == len(ri) and (li == ri).all()
+            if not same:
+                parts.append((ri, li, sims.argmax(axis=0), sims.max(axis=0)))
+            r, c = np.nonzero(sims >= np.float32(least))
+            lower, upper = np.minimum(li[r], ri[c]), np.maximum(li[r], ri[c])
+            once = li[r] < ri[c] if same else np.ones(len(r), bool)
+            near = [(own[np.isfinite(top)], other[best[np.isfinite(top)]], top[np.isfinite(top)]) for own, other, best, top in parts]
+            n = sum(len(k[0]) for k in near)
+            cols = [np.concatenate(k) for k in zip(*near, (lower[once], upper[once], sims[r, c][once]), strict=True)]
+            yield pa.record_batch([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2], pa.float32()), pa.array(np.arange(len(cols[0])) >= n)], names=["a", "b", "sim", "link"])
 
 
 def similarities(vectors: DataFrame, least: float) -> DataFrame:
-    """(a, b, sim float, link): per block pair each row's nearest (link false), and all pairs a < b with sim >= ``least`` (link true)."""
-    blocks = written(_blocks(vectors), "blocks")
-    other = blocks.select(F.col("dims").alias("dims2"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
-    # blocks, not rows, meet: (n / 2048)^2 pairs, dealt out evenly
-    pairs = blocks.join(other, F.col("dims") == F.col("dims2")).select("dims", "ids", "data", "ids2", "data2")
-    pairs = pairs.repartition(F.xxhash64("ids"), F.xxhash64("ids2"))
-    return pairs.mapInArrow(lambda it: _meet(it, least), "a long, b long, sim float, link boolean")
+    """(a, b, sim float, link): per block pair each row's nearest (link false), and all pairs a < b with sim >= ``least`` (link true).
+
+    Blocks, not rows, meet: pairs of block numbers are dealt out evenly, and the vectors are joined to them, by a
+    broadcast as long as all blocks are at most ``MOST_BYTES``.
+    """
+    blocks = written(_blocks(vectors).withColumn("m", F.monotonically_increasing_id()), "blocks")
+    # one row for a block of 2,048 vectors of one length: numbers within that length
+    numbers = blocks.select("m", "dims", (F.row_number().over(Window.partitionBy("dims").orderBy("m")) - 1).alias("i"), F.count(F.lit(1)).over(Window.partitionBy("dims")).alias("n"))
+    numbers = written(numbers, "numbers")
+    pairs = numbers.select("dims", "i", F.explode(F.sequence(F.col("i"), F.col("n") - 1)).alias("j"))
+    at = numbers.select("m", F.col("dims").alias("d"), F.col("i").alias("at"))
+    data = written(blocks.join(at, "m").select("d", "at", "ids", "data"), "numbered")
+    small = (blocks.agg(F.sum(F.length("data"))).first()[0] or 0) <= MOST_BYTES
+    near = F.broadcast if small else (lambda x: x)
+    right = data.select(F.col("d").alias("d2"), F.col("at").alias("at2"), F.col("ids").alias("ids2"), F.col("data").alias("data2"))
+    met = pairs.repartition(F.xxhash64("dims", "i", "j")).join(near(data), (F.col("dims") == F.col("d")) & (F.col("i") == F.col("at")))
+    met = met.join(near(right), (F.col("dims") == F.col("d2")) & (F.col("j") == F.col("at2"))).select("dims", "ids", "data", "ids2", "data2")
+    return met.mapInArrow(lambda it: _meet(it, least), "a long, b long, sim float, link boolean")
 
 
 def nearest(found: DataFrame) -> DataFrame:
@@ -121,8 +147,6 @@ def numbered(roots: DataFrame) -> DataFrame:
 
     The numbers come from the ranks of roots dealt out by range, so no task sees all of them.
     """
-    from pyspark.sql import Window
-
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).cast("int").alias("cluster_size"))
     cells = written(sizes.withColumn("cell", F.shiftright("root", 16)), "sizes")
     per = cells.groupBy(F.col("cell").alias("c")).agg(F.count(F.lit(1)).alias("k"))
@@ -132,7 +156,7 @@ def numbered(roots: DataFrame) -> DataFrame:
     return roots.join(ids, F.col("root") == F.col("r")).select("clip_idx", "root", "cluster_id", "cluster_size")
 
 
-def annotate(clips: DataFrame, cluster_similarity: float = 0.9, near_similarity: float = 0.98, content_similarity: float = 0.45) -> DataFrame:
+def annotate(clips: DataFrame, cluster_similarity: float = 0.92, near_similarity: float = 0.98, content_similarity: float = 0.45) -> DataFrame:
     """All clips (clip_idx, video_id, embedding) with content and deduplication blocks and canonical_id.
 
     Clips without an embedding are clusters of their own and have no nearest clip.
@@ -152,5 +176,5 @@ def annotate(clips: DataFrame, cluster_similarity: float = 0.9, near_similarity:
     flag = F.coalesce(F.col("sim") >= F.lit(near_similarity).cast("float"), F.lit(False))
     return out.select(
         "clip_idx", "video_id", "canonical_id", F.struct(F.col("content_id").alias("cluster_id"), F.col("content_size").alias("cluster_size")).alias("content"),
-        F.struct(F.col("cluster_id"), "nearest_video_id", F.round(F.col("sim").cast("double"), 4).alias("similarity"), flag.alias("is_near_duplicate")).alias("deduplication"),
+        F.struct(F.col("cluster_id"), "nearest_video_id", F.bround(F.col("sim").cast("double"), 4).alias("similarity"), flag.alias("is_near_duplicate")).alias("deduplication"),
     )

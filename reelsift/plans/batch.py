@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift.functions.captions import collapse, content_label, replace_words, reply_score
-from reelsift.functions.probe import parse_payload, technical_block, technical_reasons
-from reelsift.functions.vision import measure_frames
-from reelsift.operators.policy import apply_policy
+from reelsift.functions.captions import collapse, reply_score
+from reelsift.functions.probe import audio_window, frame_timestamps, parse_payload, technical_block, technical_reasons
+from reelsift.operators.policy import apply_policy, run_summary
 from reelsift.operators.similarity import annotate
 from reelsift.plans.config import Settings
+from reelsift.plans.extract import extract_facts, probe_clips
 from reelsift.shared import written
+from reelsift.sources.clips import clips_only, guard_output, identified, list_files, write_reports
+from reelsift.sources.media import Backends
 
+#: Blocks of a public record in order, and their fields.
 PUBLIC = ("video_id", "source", "technical", "visual", "vlm", "video_text", "audio", "content", "deduplication", "filtering")
 VISUAL = "struct<aesthetic_score:double,watermark_probability:double,text_area_ratio:double>"
 VLM = "struct<caption:string,judge_model:string,judge_caption:string,semantic_consistency:double,temporal_coverage:double,completeness:double,hallucination:double>"
@@ -23,71 +23,64 @@ VIDEO_TEXT = "struct<model:string,cosine_similarity:double,caption_replaced:stri
 AUDIO = "struct<silence_ratio:double,rms:double,clipping_ratio:double,audio_quality:double>"
 
 
-def with_backend(rows: DataFrame, key: str, make: Callable[[], Callable], inputs: list[str], code: str) -> DataFrame:
-    """(key, value string, error string): a pluggable model or decoder on each row, built once in each Python worker.
-
-    A failure is a value of its row, never an exception of the job.
-    """
-    held: dict[str, Callable] = {}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if "f" not in held:
-                held["f"] = make()
-            out = []
-            for row in batch.itertuples(index=False):
-                try:
-                    out.append((row[0], held["f"](*row[1:]), None))
-                except Exception:  # the contract: any failure of one clip is its code, and the batch goes on
-                    out.append((row[0], None, code))
-            yield pd.DataFrame(out, columns=[key, "value", "error"])
+def _filled(block: Column, kind: str) -> Column:
+    """A block that wasn't measured has its fields, all null."""
+    return F.coalesce(block, F.from_json(F.lit("{}"), kind)).cast(kind)
 
-    return rows.select(key, *inputs).mapInPandas(run, f"{key} long, value string, error string")
 
-
-def vlm_block(caption, judge_model: str, reply) -> F.Column:
-    """The caption, and the judge's scores of it from its JSON reply."""
+def vlm_block(caption: Column, judge_model: str, judge_caption: Column, reply: Column) -> Column:
+    """The caption, and the judge's scores from its reply: all of them, or none."""
     names = ("semantic_consistency", "temporal_coverage", "completeness", "hallucination")
-    said = F.nullif(collapse(caption), F.lit(""))
-    other = F.try_variant_get(F.try_parse_json(reply), "$.caption", "string")
-    return F.struct(said.alias("caption"), F.lit(judge_model).alias("judge_model"), other.alias("judge_caption"), *[F.round(reply_score(reply, x), 4).alias(x) for x in names])
+    scores = [reply_score(reply, x) for x in names]
+    whole = scores[0].isNotNull() & scores[1].isNotNull() & scores[2].isNotNull() & scores[3].isNotNull()
+    told = [F.when(whole, F.lit(judge_model)).alias("judge_model"), F.when(whole, collapse(judge_caption)).alias("judge_caption")]
+    return F.struct(F.nullif(collapse(caption), F.lit("")).alias("caption"), *told, *[F.when(whole, F.bround(s, 4)).alias(x) for s, x in zip(scores, names, strict=True)])
 
 
-def run_batch(clips: DataFrame, settings: Settings, frames: DataFrame | None = None, audio: DataFrame | None = None, captions: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
+def run_batch(clips: DataFrame, settings: Settings, backends: Backends) -> DataFrame:
     """Records with the public columns in fixed order.
 
-    ``clips``: clip_idx, video_id, source, length, payload. Optional: ``frames`` (clip, frames), ``audio`` (clip_id and the
-    audio block's fields), ``captions`` (clip_idx, caption, reply), ``labels`` (clip_idx, raw). Clips that can't be read,
-    or whose length or video is unknown, get no frame or audio facts.
+    ``clips``: clip_idx, video_id, source, path, length, and payload where clips were probed already. Clips that can't be
+    read, or whose length or video is unknown, get no media facts. A clip on which a stage fails in an unforeseen way is
+    a record of nulls with the codes unreadable and processing_error.
     """
+    policy = settings.technical()
+    if "payload" not in clips.columns:
+        clips = probe_clips(clips, settings, backends)
+    elif "probe_failed" not in clips.columns:
+        clips = clips.withColumn("probe_failed", F.lit(None).cast("string"))
     probed = clips.withColumn("probe", parse_payload(F.col("payload"), F.col("length")))
-    probed = probed.withColumn("technical_reasons", technical_reasons(F.col("probe"), settings.technical))
-    probed = probed.withColumn("technical", technical_block(F.col("probe"), F.col("technical_reasons"), settings.technical.target_fps))
-    usable = F.col("probe.probe_error").isNull() & (F.col("probe.file_size_bytes") > 0) & F.col("probe.duration_sec").isNotNull() & F.col("probe.video_codec").isNotNull() & F.col("probe.width").isNotNull()
-    probed = written(probed.withColumn("usable", usable), "probed")
-    rows = probed.withColumns({"visual": F.lit(None).cast(VISUAL), "embedding": F.lit(None).cast("array<float>"), "frame_error": F.lit(None).cast("string"), "audio": F.lit(None).cast(AUDIO), "vlm": F.lit(None).cast(VLM), "label": F.lit(None).cast("string"), "video_text": F.lit(None).cast(VIDEO_TEXT)})
-    if frames is not None:  # only clips that can be decoded reach the Python stage
-        asked = frames.join(probed.where("usable").select("clip_idx"), F.col("clip") == F.col("clip_idx"), "left_semi")
-        seen = measure_frames(asked)
-        block = F.struct("aesthetic_score", "watermark_probability", "text_area_ratio").cast(VISUAL)
-        rows = rows.drop("visual", "embedding", "frame_error").join(seen.select(F.col("clip").alias("_c"), F.when(F.col("aesthetic_score").isNotNull(), block).alias("visual"), "embedding", F.col("error").alias("frame_error")), F.col("clip_idx") == F.col("_c"), "left").drop("_c")
-    if audio is not None:
-        heard = audio.select(F.col("clip_id").alias("_c"), F.struct("silence_ratio", "rms", "clipping_ratio", "audio_quality").cast(AUDIO).alias("_audio"))
-        rows = rows.join(heard, F.col("clip_idx") == F.col("_c"), "left").withColumn("audio", F.when(F.col("usable") & F.col("probe.has_audio"), F.col("_audio"))).drop("_c", "_audio")
-    if captions is not None:  # heavy facts are for clips that passed the technical rules
-        told = captions.select(F.col("clip_idx").alias("_c"), vlm_block(F.col("caption"), "judge", F.col("reply")).cast(VLM).alias("_vlm"))
-        rows = rows.join(told, F.col("clip_idx") == F.col("_c"), "left").withColumn("vlm", F.when(F.col("technical.technical_ok"), F.col("_vlm"))).drop("_c", "_vlm")
-        changed = replace_words(F.col("vlm.caption"), settings.replace_words)
-        text = F.struct(F.lit(None).cast("string"), F.lit(None).cast("double"), F.when(changed != F.col("vlm.caption"), changed), F.lit(None).cast("double"))
-        rows = rows.withColumn("video_text", text.cast(VIDEO_TEXT))
-    if labels is not None:
-        named = labels.select(F.col("clip_idx").alias("_c"), content_label(F.col("raw"), settings.labels).alias("_label"))
-        rows = rows.join(named, F.col("clip_idx") == F.col("_c"), "left").withColumn("label", F.col("_label")).drop("_c", "_label")
-    rows = rows.withColumn("extract_errors", F.array_compact(F.array("frame_error")))
-    rows = written(rows, "measured")
+    probed = probed.withColumn("probe", F.col("probe").withField("probe_error", F.coalesce("probe_failed", "probe.probe_error")))
+    probed = probed.withColumn("technical_reasons", technical_reasons(F.col("probe"), policy))
+    probed = probed.withColumn("technical", technical_block(F.col("probe"), F.col("technical_reasons"), policy.target_fps))
+    p = F.col("probe")
+    usable = p["probe_error"].isNull() & (p["file_size_bytes"] > 0) & p["duration_sec"].isNotNull() & p["video_codec"].isNotNull() & p["width"].isNotNull()
+    rows = written(probed.select("clip_idx", "video_id", "source", "path", "probe", "technical_reasons", "technical", F.coalesce(usable, F.lit(False)).alias("usable")), "probed")
+    window = audio_window(p["duration_sec"], settings.audio.max_analyze_sec)
+    asked = rows.where("usable").select(
+        "clip_idx", "path", F.col("technical.technical_ok").alias("technical_ok"), p["has_audio"].alias("has_audio"),
+        frame_timestamps(p["duration_sec"], settings.frames.count).alias("times"), window["start"].alias("start"), window["length"].alias("length"),
+    )
+    facts = written(extract_facts(asked, settings, backends), "facts").withColumnRenamed("clip_idx", "f")
+    rows = rows.join(facts, F.col("clip_idx") == F.col("f"), "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
+    none = F.from_json(F.lit('{"audio_present":false,"technical_ok":false}'), rows.schema["technical"].dataType)
+    rows = rows.withColumns({
+        "technical": F.when(F.col("failed"), none).otherwise(F.col("technical")), "technical_reasons": F.when(F.col("failed"), F.array(F.lit("unreadable"))).otherwise(F.col("technical_reasons")),
+        "extract_errors": F.when(F.col("failed"), F.array(F.lit("processing_error"))).otherwise(F.col("errors")),
+        "visual": _filled(F.col("visual"), VISUAL), "vlm": _filled(F.col("vlm"), VLM), "video_text": _filled(F.col("video_text"), VIDEO_TEXT), "audio": _filled(F.col("audio"), AUDIO),
+    })
     d = settings.dedup
-    groups = annotate(rows.select("clip_idx", "video_id", "embedding"), d.cluster_similarity, d.near_similarity, d.content_similarity)
-    groups = groups.select(F.col("clip_idx").alias("_i"), "canonical_id", F.col("content").alias("_content"), "deduplication")
-    rows = rows.join(groups, F.col("clip_idx") == F.col("_i")).drop("_i")
-    rows = rows.withColumn("content", F.struct(F.col("label").alias("label"), F.col("_content.cluster_id").alias("cluster_id"), F.col("_content.cluster_size").alias("cluster_size")))
-    return apply_policy(rows, settings.filtering).select(*PUBLIC)
+    groups = annotate(rows.select("clip_idx", "video_id", "embedding"), d.cluster_similarity, d.near_duplicate_similarity, settings.content.cluster_similarity)
+    groups = groups.select(F.col("clip_idx").alias("g"), "canonical_id", F.col("content").alias("grouped"), "deduplication")
+    rows = rows.join(groups, F.col("clip_idx") == F.col("g"))
+    rows = rows.withColumn("content", F.struct("label", F.col("grouped.cluster_id").alias("cluster_id"), F.col("grouped.cluster_size").alias("cluster_size")))
+    return apply_policy(rows, settings.policy()).select(*PUBLIC)
+
+
+def run_folder(spark: SparkSession, folder: str, settings: Settings, backends: Backends, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Records of all clips in a folder, which are also written as reports to the output folder, and the run's summary."""
+    guard_output(folder, settings.output_dir)
+    clips = identified(clips_only(list_files(spark, folder, settings.recursive), settings.extensions, settings.output_dir), limit)
+    records = written(run_batch(clips, settings, backends), "records")
+    write_reports(records, settings.output_dir)
+    return records, run_summary(records)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelsift.functions.captions import extension, path_id, path_order, stem
+from reelsift.shared import written
 
 #: File name extensions of clips.
 EXTENSIONS = ("mp4", "mov", "mkv", "webm", "avi", "m4v")
@@ -24,7 +25,7 @@ def normal_extensions(names: tuple[str, ...]) -> tuple[str, ...]:
 def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """(source, path, length) of all regular files under a folder of any store that Spark reads, empty ones and dotfiles too.
 
-    Folders are listed by tasks, level by level, so the driver holds no file names.
+    The driver lists them, as for any table that Spark reads, 100,000 at a time.
     """
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -60,15 +61,31 @@ def clips_only(files: DataFrame, extensions: tuple[str, ...] = EXTENSIONS, outpu
 
 
 def identified(files: DataFrame, limit: int | None = None) -> DataFrame:
-    """The first ``limit`` clips in path order with clip_idx and video_id: the stem, or the whole path where stems repeat."""
+    """The first ``limit`` clips in path order with clip_idx and video_id.
+
+    The id is the stem, or the whole path where stems repeat or an earlier clip has that id. Clips are numbered by ranges
+    of paths and the number of clips before each range, so no task sees all of them.
+    """
     if limit is not None:
         if limit < 1:
             raise ValueError("limit must be at least 1")
         files = files.orderBy(path_order(F.col("source"))).limit(limit)
-    rows = files.withColumn("clip_idx", F.row_number().over(Window.orderBy(path_order(F.col("source")))).cast("long") - 1)
-    rows = rows.withColumn("_stem", stem(F.col("source")))
-    same = F.count(F.lit(1)).over(Window.partitionBy("_stem"))
-    return rows.withColumn("video_id", F.when(same > 1, path_id(F.col("source"))).otherwise(F.col("_stem"))).drop("_stem")
+    order = path_order(F.col("source"))
+    rows = files.repartitionByRange(order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id())
+    rows = written(rows.withColumns({"_range": F.shiftright("_at", 33), "_stem": stem(F.col("source"))}), "ranges")
+    sizes = rows.groupBy(F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_r", (F.sum("_n").over(Window.orderBy("_r")) - F.col("_n")).alias("_before"))
+    stems = rows.groupBy(F.col("_stem").alias("_s")).agg(F.count(F.lit(1)).alias("_same"))
+    rows = rows.join(F.broadcast(before), F.col("_range") == F.col("_r")).join(stems, F.col("_stem") == F.col("_s"))
+    rows = rows.withColumn("clip_idx", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    rows = rows.withColumns({"_whole": path_id(F.col("source")), "_long": F.col("_same") > 1})
+    rows = written(rows.drop("_at", "_range", "_r", "_before", "_s", "_same"), "clips")
+    while True:  # a stem that is an earlier clip's whole path; a clip renamed so can stand in the way of a later one
+        taken = rows.where("_long").groupBy(F.col("_whole").alias("_t")).agg(F.min("clip_idx").alias("_first"))
+        met = rows.join(taken, ~F.col("_long") & (F.col("_stem") == F.col("_t")) & (F.col("_first") < F.col("clip_idx")), "left")
+        if met.where("_t is not null").isEmpty():
+            return rows.withColumn("video_id", F.when(F.col("_long"), F.col("_whole")).otherwise(F.col("_stem"))).drop("_stem", "_whole", "_long")
+        rows = written(met.withColumn("_long", F.col("_long") | F.col("_t").isNotNull()).drop("_t", "_first"), "clips")
 
 
 def safe_member(name: str) -> bool:

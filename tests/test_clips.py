@@ -8,12 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelsift.functions import audio, captions, probe, vision
-from reelsift.functions.numbers import positive, ratio, weighted_mean
+from reelsift.__main__ import main
+from reelsift.functions.numbers import positive, ratio, rounded, weighted_mean
+from reelsift.operators import similarity
 from reelsift.operators.policy import FilterPolicy, apply_policy
 from reelsift.operators.similarity import annotate
 from reelsift.plans import queries
 from reelsift.plans.config import load_settings
-from reelsift.sources import clips
+from reelsift.plans.batch import PUBLIC
+from reelsift.sources import clips, storage
+from reelsift.sources.media import Backends
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,12 +28,19 @@ def one(spark, column, **values):
 
 
 def test_probe_takes_the_first_shown_video(spark):
-    payload = {"format": {"duration": "12.4"}, "streams": [{"codec_type": "video", "codec_name": "png", "disposition": {"attached_pic": 1}}, {"codec_type": "video", "codec_name": "h264", "width": 1920, "height": 1080, "avg_frame_rate": "60/1"}, {"codec_type": "audio", "duration": "12.2"}]}
-    p = one(spark, probe.parse_payload(F.col("p"), F.lit(10)), p=json.dumps(payload))
-    assert (p.video_codec, p.width, p.fps, p.duration_sec, p.audio_duration_sec, p.has_audio, p.probe_error) == ("h264", 1920, 60.0, 12.4, 12.2, True, None)
-    assert one(spark, probe.parse_payload(F.col("p"), F.lit(10)), p="oops").probe_error
+    cover = {"codec_type": "video", "codec_name": "mjpeg", "width": 9, "disposition": {"attached_pic": 1}}
+    film = {"codec_type": "video", "codec_name": " vp9", "width": "640", "height": 360, "avg_frame_rate": "0/0", "r_frame_rate": "50/2"}
+    payload = {"format": {"duration": "7.25", "bit_rate": "N/A"}, "streams": [cover, {"codec_type": "audio", "codec_name": "opus", "duration": "7"}, film]}
+    read = probe.parse_payload(F.col("p"), F.lit(10))
+    p = one(spark, read, p="\n " + json.dumps(payload))
+    assert (p.video_codec, p.width, p.fps, p.duration_sec, p.audio_duration_sec, p.has_audio, p.probe_error) == ("vp9", 640, 25.0, 7.25, 7.0, True, None)
+    assert one(spark, read, p='{"format": {}, "format": {"duration": 3}}').probe_error is None  # a repeated key
+    for bad in ("oops", "[1]", "", '{"a": 1} more', '{"a"'):
+        assert one(spark, read, p=bad).probe_error, bad
     reasons = one(spark, probe.technical_reasons(probe.parse_payload(F.col("p"), F.lit(0)), probe.TechnicalPolicy()), p="{}")
     assert reasons == ["unreadable"]
+    block = one(spark, probe.technical_block(read, F.array().cast("array<string>"), 24.0), p=json.dumps(payload).replace(" vp9", "H265"))
+    assert (block.codec, block.fps_processed) == ("hevc", 24.0)
 
 
 def test_numbers(spark):
@@ -42,11 +53,18 @@ def test_numbers(spark):
 
 
 def test_captions(spark):
-    assert one(spark, captions.replace_words(F.col("c"), {"man": "hand"}), c="a man of photo, manual woman Man") == "a hand of photo, manual woman hand"
-    assert one(spark, captions.reply_score(F.col("r"), "a"), r='say {"a": "82"} now') == 0.82
+    said = "The cat sat; catalogue, CAT"
+    assert one(spark, captions.replace_words(F.col("c"), {"cat": "dog$1"}), c=said) == "The dog$1 sat; catalogue, dog$1"
+    assert one(spark, captions.replace_words(F.col("c"), {"cat": "<\\g<0>>\\n"}), c="a Cat") == "a <Cat>\n"
+    assert one(spark, captions.replace_words(F.col("c"), {"thé": "eau"}), c="du thé, théâtre") == "du eau, théâtre"
+    with pytest.raises(ValueError):
+        captions.template("\\1")
+    assert one(spark, captions.reply_score(F.col("r"), "a"), r='so: {"a": "47"} ok') == 0.47
     assert one(spark, captions.reply_score(F.col("r"), "a"), r="no object") is None
-    assert one(spark, captions.content_label(F.col("c"), ("person", "other")), c=" Cat ") == "other"
+    labels = ("tree", "other")
+    assert [one(spark, captions.content_label(F.col("c"), labels), c=x) for x in ("\n\u00a0Tree\t", "bush")] == ["tree", "other"]
     assert one(spark, captions.object_key(F.lit(" "), F.col("c")), c="n") == "n"
+    assert one(spark, rounded(F.col("x"), 3), x=0.0625) == 0.062
 
 
 def test_timestamps(spark):
@@ -65,11 +83,40 @@ def test_audio_frames(spark, n):
     assert abs(row.rms - np.mean(rms)) < 1e-6 and row.clipping_ratio == 0
 
 
+def test_audio_in_numpy(spark):
+    x = np.clip(np.sin(np.arange(5000) / 3) * 1.2, -1, 1)
+    row = audio.analyze(spark.createDataFrame([(1, i, float(v)) for i, v in enumerate(x)], "clip_id long, i long, x double")).first()
+    assert audio.measured(x) == {k: row[k] for k in ("silence_ratio", "rms", "clipping_ratio", "audio_quality")}
+    assert audio.measured(np.zeros(700))["silence_ratio"] == 1
+    with pytest.raises(ValueError):
+        audio.measured([])
+
+
 def test_frames():
-    black, noise = np.zeros((64, 64, 3), np.uint8), np.random.default_rng(0).integers(0, 256, (64, 64, 3)).astype(np.uint8)
-    assert vision.aesthetic_score(black) < vision.aesthetic_score(noise) and vision.text_area_ratio(black) == 0
-    assert abs(np.linalg.norm(vision.histogram([noise])) - 1) < 1e-6 and not vision.histogram([]).any()
-    assert vision.watermark_probability([]) == 0
+    r = np.random.default_rng(3)
+    flat, busy = np.full((40, 60, 3), 90, np.uint8), r.integers(0, 256, (40, 60, 3)).astype(np.uint8)
+    (dull, _, no_text), (rich, _, _) = vision.measured([flat]), vision.measured([busy])
+    assert dull < rich and no_text == 0
+    # strokes in few columns of some rows; narrow frames have as many places as the window
+    page = np.zeros((20, 50, 3), np.uint8)
+    page[4:8, 10:14:2] = 255
+    gray = page.astype(np.float32) @ vision.LUMA
+    strong = np.abs(np.diff(gray, axis=1)) >= 25
+    want = sum((np.convolve(row, np.ones(21), "same") > 0).sum() for row in strong.astype(float) if 0.05 < row.mean() < 0.35) / (20 * 49)
+    assert want > 0 and vision.measured([page])[2] == pytest.approx(want)
+    narrow = page[:, 5:17]
+    strong = np.abs(np.diff(narrow.astype(np.float32) @ vision.LUMA, axis=1)) >= 25
+    want = sum((np.convolve(row, np.ones(21), "same") > 0).sum() for row in strong.astype(float) if 0.05 < row.mean() < 0.35) / (20 * 11)
+    assert vision.measured([narrow])[2] == pytest.approx(min(1, want))
+    # a mark that stays in one corner, in frames of unequal size too
+    marked = [flat.copy(), flat.copy()[:30]]
+    for x in marked:
+        x[:6, :10:2] = 255
+    assert vision.measured(marked)[1] == 1 and vision.measured([marked[0], flat])[1] < 0.5
+    assert abs(np.linalg.norm(vision.histogram([busy])) - 1) < 1e-6 and not vision.histogram([]).any()
+    counts = np.concatenate([np.histogram(busy[::8, ::8, c], 16, (0, 255))[0] for c in range(3)])
+    assert np.allclose(vision.histogram([busy]), counts / np.linalg.norm(counts))
+    assert vision.rgb(np.ones((4, 4))).tolist() == np.full((4, 4, 3), 255).tolist() and vision.clip_facts([])[-1] == "frame_extraction_failed"
 
 
 def test_similarity(spark):
@@ -82,17 +129,120 @@ def test_similarity(spark):
 
 def test_policy_nan_and_null_reject_nothing(spark):
     rows = queries._records(queries._views(spark, SF, queries.METRIC, "orders")).withColumn("visual", F.struct(F.lit(None).cast("double").alias("aesthetic_score"), F.lit(float("nan")).alias("watermark_probability"), F.lit(0.1).alias("text_area_ratio")))
-    out = apply_policy(rows.where("technical_reasons is null"), FilterPolicy(min_aesthetic=0.5, max_watermark=0.5, reject_near_duplicates=False))
+    out = apply_policy(rows.where("technical_reasons is null"), FilterPolicy(min_aesthetic=0.5, max_watermark=0.5, max_silence_ratio=None, max_clipping_ratio=None))
     assert out.where("filtering.status = 'rejected'").isEmpty()
 
 
 def test_config():
-    assert load_settings("").technical.min_fps == 10
-    for bad in ("nope: 1", "technical: {min_fps: true}", "technical: {min_duration: 9, max_duration: 1}", "labels: [A]"):
+    s = load_settings("")
+    assert (s.filtering.min_fps, s.filtering.max_duration, s.dedup.cluster_similarity, s.output_dir, len(s.content.labels)) == (8, 7200, 0.92, "reports", 8)
+    assert s.policy().max_clipping_ratio == 0.02 and not s.policy().reject_near_duplicates and s.technical().codecs[0] == "h264"
+    s = load_settings("extensions: [.MP4]\nfiltering: {max_text_area_ratio: null, min_width: 32, reject_labels: [ Text ]}\nframes: {count: 2}")
+    assert s.policy().max_text_area is None and s.technical().min_width == 32 and s.policy().reject_labels == ("text",) and s.frames.count == 2
+    for bad in (
+        "nope: 1", "filtering: {min_fps: true}", "filtering: {min_duration: 9, max_duration: 1}", "content: {labels: [a]}", "filtering: {min_fsp: 3}", "frames: 4", "frames: {count: 0}", "audio: {sample_rate: 8000.5}",
+        "storage: {enabled: true}", "storage: {read_videos: true}", "vlm: {backend: qwen_vl, judge_model_id: Qwen/Qwen3-VL-8B-Instruct}", "video_text: {replace_words: {' ': x}}", "filtering: {reject_labels: [moon]}",
+        "audio: {weight_silence: 0, weight_energy: 0, weight_clipping: 0}", "- 1",
+    ):
         with pytest.raises(ValueError):
             load_settings(bad)
 
 
+def _clip_folder(folder):
+    """Clips as text files that the tools of ``TOOLS`` read."""
+    folder.mkdir()
+    for name in ("good", "twin", "dark", "mute", "odd", "lost"):
+        (folder / f"{name}.mp4").write_text(name)
+    (folder / "empty.mov").write_text("")
+    (folder / "note.txt").write_text("no clip")
+    return folder
+
+
+def _tool_probe(settings):
+    def read(path):
+        name = path.rsplit("/", 1)[1].split(".")[0]
+        if name == "lost":
+            raise RuntimeError("not a film")
+        streams = [{"codec_type": "video", "codec_name": "h264", "width": 640, "height": 480, "avg_frame_rate": "30/1"}]
+        return json.dumps({"format": {"duration": "5"}, "streams": streams + [{"codec_type": "audio", "duration": "5"}] * (name != "mute")})
+
+    return read
+
+
+def _tool_frames(settings):
+    def read(path, times):
+        r = np.random.default_rng(1)
+        if "odd" in path:
+            return [np.zeros((2, 2, 2, 2))]
+        return [np.zeros((64, 64, 3), np.uint8) if "dark" in path else r.integers(0, 256, (64, 64, 3)).astype(np.uint8) for _ in times]
+
+    return read
+
+
+TOOLS = Backends(probe=_tool_probe, frames=_tool_frames, audio=lambda s: lambda path, start, length: np.sin(np.arange(16000) / 5) * 0.2)
+
+
+def test_batch_of_a_folder(spark, tmp_path, capsys):
+    folder = _clip_folder(tmp_path / "in")
+    code = main(["run", "--input", str(folder), "--output-dir", str(tmp_path / "out"), "--backends", "tests.test_clips:TOOLS"])
+    assert code == 0 and "7 clips: 3 accepted, 4 rejected, 0 errors" in capsys.readouterr().out
+    rows = [json.loads(x) for f in sorted((tmp_path / "out" / "results.jsonl").glob("part-*")) for x in f.read_text().splitlines()]
+    found = {r["video_id"]: r for r in rows}
+    assert all(list(r) == list(PUBLIC) for r in rows) and len(rows) == 7
+    assert {k: r["filtering"]["reasons"] for k, r in found.items() if r["filtering"]["reasons"]} == {
+        "dark": ["aesthetic_score_below_threshold"], "empty": ["unreadable"], "lost": ["unreadable"], "odd": ["visual_extraction_failed"],
+    }
+    assert found["good"]["deduplication"]["is_near_duplicate"] and found["good"]["deduplication"]["cluster_id"] == found["twin"]["deduplication"]["cluster_id"]
+    assert found["mute"]["audio"] == dict.fromkeys(("silence_ratio", "rms", "clipping_ratio", "audio_quality")) and found["good"]["audio"]["rms"] > 0.1
+    assert main(["run", "--input", str(folder), "--output-dir", str(tmp_path)]) == 2 and main(["run"]) == 2 and main(["run", "--input", str(folder), "--limit", "0"]) == 2
+
+
+def test_store(spark, tmp_path):
+    folder, root = _clip_folder(tmp_path / "in"), f"file://{tmp_path}/store"
+    for archive in ("tar", "files"):
+        s = load_settings(f"storage: {{enabled: true, bucket: b, archive: {archive}}}")
+        places = storage.upload_clips(spark, str(folder), s, root=root)
+        assert len(places) == (1 if archive == "tar" else 7)
+        if archive == "tar":
+            with tarfile.open(tmp_path / "store/videos/videos.tar") as t:
+                assert sorted(t.getnames()) == sorted(x.name for x in folder.iterdir() if x.suffix != ".txt") and t.extractfile("good.mp4").read() == b"good"
+        down = tmp_path / f"down-{archive}"
+        assert storage.download_clips(spark, s, f"file://{down}", root=root).count() == 7 and (down / "dark.mp4").read_text() == "dark"
+    s.storage.videos_prefix = "files/md5"
+    with pytest.raises(ValueError):
+        storage.upload_clips(spark, str(folder), s, root=root)
+    s.storage.videos_prefix, s.storage.archive = "none", "tar"
+    with pytest.raises(FileNotFoundError):
+        storage.download_clips(spark, s, f"file://{tmp_path}/x", root=root)
+    (tmp_path / ".dvc").mkdir()
+    (tmp_path / ".dvc/config").write_text("['remote \"s3\"']\n    url = s3://bucket/some/where/\n    endpointurl = http://x\n")
+    assert storage.remote_settings(str(folder)) == {"bucket": "bucket", "prefix": "some/where", "endpoint": "http://x", "key": "", "secret": ""}
+    with pytest.raises(ValueError):
+        clips.guard_prefix("some/where/files/a", "some/where")
+
+
+def test_ids(spark):
+    names = ["a/b.mp4", "c/b.mp4", "x/a__b.mp4", "x__a__b.mp4", "y/c__b.mp4", "z/solo.mov"]
+    out = clips.identified(spark.createDataFrame([(n, "/" + n) for n in reversed(names)], "source string, path string")).orderBy("clip_idx").collect()
+    assert [(r.clip_idx, r.source) for r in out] == [*enumerate(sorted(names, key=lambda n: n.split("/")))]
+    assert {r.source: r.video_id for r in out} == {"a/b.mp4": "a__b", "c/b.mp4": "c__b", "x/a__b.mp4": "x__a__b", "x__a__b.mp4": "x__a__b", "y/c__b.mp4": "y__c__b", "z/solo.mov": "solo"}
+    assert clips.identified(spark.createDataFrame([(n, "/" + n) for n in names], "source string, path string"), 2).count() == 2
+
+
+def test_similarities_by_shuffle(spark, monkeypatch):
+    r = np.random.default_rng(2)
+    rows = [(i, r.normal(size=3).tolist()) for i in range(50)] + [(60, [1.0]), (61, [2.0]), (62, None), (63, [])]
+    df = spark.createDataFrame(rows, "clip_idx long, embedding array<float>").repartition(5)
+    monkeypatch.setattr(similarity, "BLOCK", 8)
+    monkeypatch.setattr(similarity, "MOST_BYTES", 0)
+    found = similarity.similarities(df, 1.0).cache()
+    v = {i: np.array(x, np.float32) for i, x in rows if x}
+    sims = {(a, b): float(v[a] @ v[b]) for a in v for b in v if a != b and len(v[a]) == len(v[b])}
+    assert sorted((x.a, x.b) for x in found.where("link").collect()) == sorted(p for p, x in sims.items() if p[0] < p[1] and x >= 1)
+    best = {x.clip_idx: x.nearest_idx for x in similarity.nearest(found).collect()}
+    assert best == {a: max((b for b in v if (a, b) in sims), key=lambda b: sims[a, b]) for a in v}
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "a").mkdir()
     for name in ("a/x.MP4", "x.mov", ".y.mp4", "n.txt"):
