@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text handled at once by a Python worker; one longer text is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 #: Most bytes of a batch that goes to a Python worker, but for one longer row. The executor holds each batch several times over.
 BATCH_BYTES = 2 * SLICE_BYTES
