@@ -109,7 +109,7 @@ def _copied(docs: DataFrame, key: str, text: str, source: str, weights: tuple[fl
     """row (struct of all columns), size, source_size, target, expected (copies), taken copies (n) for each row of ``docs``."""
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     h = F.md5(F.concat(F.lit(f"{seed} "), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(" "), F.coalesce(F.col(text), F.lit(""))))
-    length = F.when(F.col("size") > 0, F.length(F.bin("size")) - 1).otherwise(0)
+    length = F.when(F.col("size") > 0, F.length(F.bin("size")) - 1).otherwise(-1)
     rows = written(docs.select(F.col(source).alias("s"), size.alias("size"), h.alias("h")).withColumn("length", length), "sizes")
     targets = written(_targets(rows.groupBy("s", "length").agg(F.sum("size").alias("words")), weights, total, most), "targets")
     ranked = _ranked(rows, targets)
@@ -133,7 +133,7 @@ def mix_sources(
     length, none above ``most``, so that those of a source add up to its target. A document is taken ``copies`` times, so
     ``taken`` = ``copies`` x ``size``, at most ``most`` times its size rounded up. Documents that fit are taken in rank
     until one would pass the target, and up to ``fills`` documents that bring it nearest are added. Random numbers come
-    from key, text and ``seed``, so reruns agree and repeated rows are taken alike. Empty texts count 0 words. Columns of
+    from key, text and ``seed``, so reruns agree and repeated rows are taken alike. Texts without words are never taken. Columns of
     ``docs`` with the names above are replaced here; ``mixed`` keeps them. An empty table gives an empty table.
     """
     rows = _copied(docs, key, text, source, weights, total, most, seed, fills)

@@ -63,7 +63,7 @@ def test_mixing(spark, docs, empty):
     out = op2_mixing.mix_sources(docs).collect()
     sizes = collections.Counter()
     for r in out:
-        assert r.size == len(words(r.text)) and r.taken == r.copies * r.size <= 2 * r.size
+        assert r.size == len(words(r.text)) and r.taken == r.copies * r.size <= 2 * r.size and (r.size or not r.copies)
         sizes[r.source] += r.size
     names = sorted(sizes, key=lambda x: (x is None, x))
     want = water([(n, sizes[n], (5, 2, 1)[i % 3]) for i, n in enumerate(names) if sizes[n]], 1.5 * sum(sizes.values()), 2)
@@ -192,18 +192,24 @@ def test_clashing_names(spark):
         assert set(found) == {same} and (n is None or len(found) == n)
 
 
-def test_near_copies(spark, docs, empty):
-    rows = documents()
-    bags = [collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter() for _, t, _, _ in rows for w in [plain_words(t)]]
+def near_groups(rows):
+    """For each (key, text), the number of the first row that it is connected with by similar texts: all pairs are compared."""
+    bags = [collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter() for _, t in rows for w in [plain_words(t)]]
     root = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
-            shared, total = sum((bags[i] & bags[j]).values()), sum((bags[i] | bags[j]).values())
-            if (rows[i][1] is not None and rows[i][1] == rows[j][1]) or total and shared >= 0.8 * total:
+            shared = sum((bags[i] & bags[j]).values())
+            total = sum(bags[i].values()) + sum(bags[j].values()) - shared
+            if (rows[i][1] is not None and rows[i][1] == rows[j][1]) or rows[i] == rows[j] or total and shared >= 0.8 * total:
                 old, new = root[i], root[j]
                 root = [new if x == old else x for x in root]
+    return root
+
+
+def test_near_copies(spark, docs, empty):
+    rows = documents()
     expected = collections.defaultdict(list)
-    for i, x in enumerate(root):
+    for i, x in enumerate(near_groups([r[:2] for r in rows])):
         expected[x].append(rows[i][0])
     want = sorted((str(min((k for k in v if k is not None), default=None)), len(v)) for v in expected.values() for _ in v)
     assert sorted((str(r.class_id), r.copies) for r in op7_minhash.near_duplicates(docs).collect()) == want
@@ -394,13 +400,101 @@ def test_chat_control_strings(spark):
     assert sorted(tuple(r) for r in op10_chat.digests(chats).collect()) == sorted(r for r in want if r[0] >= 0)
 
 
-def test_pipeline(spark):
+@pytest.fixture(scope="module")
+def planted(spark, tmp_path_factory):
+    """The smallest tables with planted copies, benchmark passages and runs, toxic documents, nulls and clashing names."""
+    folder, sf = tmp_path_factory.mktemp("planted"), "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").limit(3).collect()
+    toxic = [r.text for r in docs.join(labels.where("toxic = 1"), "doc_id").orderBy("doc_id").collect()]
+    good = [r.text for r in docs.join(labels.where("quality = 1 and toxic = 0"), "doc_id").where("n_chars between 600 and 4000").orderBy("doc_id").collect()]
+    run = " ".join(plain_words(items[1].text)[:9])
+    texts = [
+        *toxic, good[0], good[0].replace(" ", "  ", 3), good[1] + " added", f"{good[2]} {items[0].text} {good[3]}", f"{good[4][:500]} {run.upper()}! {good[5]}",
+        None, None, "", "short", " ".join(good) * 20, good[6], good[6],
+    ]
+    made = [(9000 + i, x, None if i % 5 == 0 else "src1", "en", None if x is None else len(x)) for i, x in enumerate(texts)]
+    extra = spark.createDataFrame([*made, made[-1], (None, good[7], "src2", None, None)], "doc_id long, text string, source string, lang string, n_chars long")
+    odd = {x: F.lit(x) for x in ("keep", "clean", "n_hit", "items", "expected_grade", "size", "taken", "id", "c0", "c1", "row", "a.b")}
+    docs.unionByName(extra.select(*docs.columns)).withColumns(odd).write.parquet(f"{folder}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{folder}/{t}.parquet")
+    return str(folder), [9000 + i for i in range(len(toxic))], 9000 + len(toxic)
+
+
+def test_pipeline(spark, planted):
+    """Each stage against a brute-force version of it on what the stage before it kept."""
+    import duckdb
+    import pyarrow as pa
+
     import corpus_pipeline
+    from reelsift.llm.queries import ORACLE_SQL
 
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    columns = docs.columns
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, sf)
-        assert docs.columns == columns and docs.count() > 0
-    assert corpus_pipeline.run(spark, sf).agg(F.count_distinct("start") == F.count("start")).first()[0]
+    folder, toxic, first = planted
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, stages = docs.columns, dict(corpus_pipeline.STAGES)
+    shown = lambda rows: sorted(map(str, map(tuple, rows)))
+
+    def after(name):
+        nonlocal docs
+        before = docs.collect()
+        docs = spark.createDataFrame(stages[name](spark, docs, folder).collect(), docs.schema)
+        assert docs.columns == columns
+        return before, docs.collect()
+
+    before, rows = after("quality classifier")
+    # the texts one at a time, by the probabilities written out
+    model = op1_quality.train(spark.createDataFrame(before, docs.schema), op1_quality.graded(spark.read.parquet(f"{folder}/labels.parquet")))
+    score = lambda t: sum(float(model.weights[f]) for f in op1_quality.features([(t or "").encode()], len(model.weights))[1])
+    assert shown(rows) == shown(r for r in before if 1 / (1 + np.exp(model.thresholds[-1] - score(r.text))) >= 0.5) and not {r.doc_id for r in rows} & set(toxic)
+    rated = {r.doc_id: r for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    assert np.mean([(r.doc_id in {x.doc_id for x in rows}) == (rated[r.doc_id].quality == 1 and rated[r.doc_id].toxic == 0) for r in before if r.doc_id in rated]) > 0.95
+
+    before, rows = after("MinHash near-dedup")
+    groups = collections.defaultdict(list)
+    for r, x in zip(before, near_groups([(r.doc_id, r.text) for r in before]), strict=True):
+        groups[x].append(r)
+    least = [min(x, key=lambda r: (r.doc_id is None, r.doc_id or 0)) for x in groups.values()]
+    assert shown(rows) == shown(least) and len(rows) < len(before) and not {first, first + 1, first + 2} & {r.doc_id for r in rows}
+
+    before, rows = after("benchmark decontamination")
+    windows = {tuple(w[i : i + k]) for x in spark.read.parquet(f"{folder}/benchmark.parquet").collect() for w in [plain_words(x.text)] for k in [min(8, len(w))] if k for i in range(len(w) - k + 1)}
+    want = {}
+    for r in before:
+        w = plain_words(r.text)
+        hit = {j for k in {len(x) for x in windows} for i in range(len(w) - k + 1) if tuple(w[i : i + k]) in windows for j in range(i, i + k)}
+        if len(hit) < 16:
+            want[r.doc_id] = (r, [x for j, x in enumerate(w) if j not in hit], bool(hit))
+    assert sorted(map(str, want)) == sorted(str(r.doc_id) for r in rows) and first + 3 not in want and want[first + 4][2]
+    for r in rows:
+        old, left, cut = want[r.doc_id]
+        assert plain_words(r.text) == left and (r.n_chars == len(r.text) if cut else r == old)
+        assert [r[c] for c in columns if c not in ("text", "n_chars")] == [old[c] for c in columns if c not in ("text", "n_chars")]
+
+    before, rows = after("mixing sources to target weights")
+    with duckdb.connect() as con:
+        con.register("documents", pa.table({"doc_id": pa.array([r.doc_id for r in before], pa.int64()), "text": [r.text for r in before], "source": [r.source for r in before]}))
+        taken = {r["doc_id"]: r for r in con.sql(ORACLE_SQL["op2_source_mix"]).arrow().read_all().to_pylist()}
+    assert len(taken) == len(before)
+    assert shown(rows) == shown(r for r in before if taken[r.doc_id]["size"] for _ in range(taken[r.doc_id]["taken"] // taken[r.doc_id]["size"]))
+
+    library = Tokenizer.from_file(op5_token_files.public_tokenizers.path("byte_bpe_50k.json"))
+    want, start = [], 0
+    for r in sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0)):
+        ids = np.array([*library.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4")
+        want.append((r.doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    names = ("doc_id", "start", "n_tokens", "ids_crc32")
+    assert shown(corpus_pipeline.run(spark, folder).select(*names).collect()) == shown(want)
+
+
+def test_pipeline_of_empty_tables(spark, planted, tmp_path):
+    import corpus_pipeline
+
+    folder = planted[0]
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name in ("quality classifier", "benchmark decontamination"):  # nothing is rated, nothing leaks
+        assert dict(corpus_pipeline.STAGES)[name](spark, docs, str(tmp_path)).count() == docs.count()
