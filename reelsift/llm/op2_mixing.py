@@ -16,6 +16,8 @@ from reelsift.shared import written
 
 #: Cells of rank by source; only the cell that holds the cut is sorted.
 CELLS = 1 << 16
+#: Cells are summed in blocks of two to this power.
+BLOCK_BITS = 8
 #: A document of 2**k words has the weight LENGTHS - k, at least 1: whole numbers, so that sums don't depend on their order.
 LENGTHS = 24
 WORD = r"[^\x20\x09-\x0D]+"
@@ -73,17 +75,25 @@ def _inside() -> Column:
     return F.coalesce(F.col("rank").isNotNull() & (F.col("size") <= F.col("fit")) & ((F.col("cell") < F.col("cut")) | at_cut), F.lit(False))
 
 
+def _last(rows: DataFrame, at: str) -> DataFrame:
+    """(s, ``at``, before, need): of ``rows`` (s, ``at``, need, start, words) the last of each source up to which, from start on, no more words come than needed."""
+    before = F.col("start") + F.sum("words").over(Window.partitionBy("s").orderBy(at)) - F.col("words")
+    last = F.max(F.when(F.col("before") <= F.col("need"), F.struct(at, "before", "need")))
+    return rows.withColumn("before", before).groupBy("s").agg(last.alias("c")).select("s", "c.*")
+
+
 def _cuts(ranked: DataFrame) -> DataFrame:
     """Where each source stops in rank, and how many words are still missing there."""
     sure = ranked.groupBy(F.col("s").alias("ns")).agg(F.first("target").alias("t"), F.sum(F.col("sure") * F.col("size")).alias("n"))
     sure = written(sure.select("ns", (F.col("t") - F.col("n")).alias("need")), "needs")
     # a document larger than what is needed can't be taken, and must not stop the others
     rows = ranked.where("rank is not null").join(sure, F.col("s").eqNullSafe(F.col("ns"))).where("size <= need")
-    cells = rows.groupBy("s", "cell", "need").agg(F.sum("size").alias("words"))
-    cells = cells.withColumn("before", F.sum("words").over(Window.partitionBy("s").orderBy("cell")) - F.col("words"))
-    last = F.max(F.when(F.col("before") <= F.col("need"), F.struct("cell", "before", "need")))
-    cut = cells.groupBy(F.col("s").alias("t")).agg(last.alias("c")).select("t", F.col("c.cell").alias("cut"), F.col("c.before").alias("before"), F.col("c.need").alias("want"))
-    cut = written(cut, "cells")
+    # blocks of cells first, then the cells of the block that holds the cut, so that no task sorts all cells of a source
+    cells = written(rows.groupBy("s", "cell", "need").agg(F.sum("size").alias("words")).withColumn("block", F.shiftright("cell", BLOCK_BITS)), "cells")
+    blocks = _last(cells.groupBy("s", "block", "need").agg(F.sum("words").alias("words")).withColumn("start", F.lit(0)), "block")
+    inner = cells.join(blocks.select(F.col("s").alias("bs"), F.col("block").alias("held"), F.col("before").alias("start")), F.col("s").eqNullSafe(F.col("bs")) & (F.col("block") == F.col("held")))
+    cut = _last(inner, "cell").select(F.col("s").alias("t"), F.col("cell").alias("cut"), "before", F.col("need").alias("want"))
+    cut = written(cut, "cut")
     near = rows.join(cut, F.col("s").eqNullSafe(F.col("t")) & (F.col("cell") == F.col("cut")))
     near = near.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("s").orderBy("rank", "h", "size")))
     stop = near.where("upto <= want").groupBy(F.col("s").alias("u")).agg(F.max(F.struct("rank", "h", "upto")).alias("stop"))
