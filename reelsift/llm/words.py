@@ -44,8 +44,6 @@ def _table(shown: dict[int, int]) -> np.ndarray:
 
 #: Words are runs outside x20 and x09-x0D, unchanged.
 BLANKS = _table({b: b for b in range(256) if b != 32 and not 9 <= b <= 13})
-#: Words are what blanks and line feeds separate.
-BLANK_AND_LINE = _table({b: b for b in range(256) if b not in (10, 32)})
 #: Words are runs of ASCII letters and digits and of all bytes of other scripts; A-Z count as a-z.
 PLAIN = _table({b: b + 32 if 65 <= b <= 90 else b for b in range(256) if b >= 128 or 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122})
 

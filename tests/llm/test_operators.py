@@ -135,6 +135,21 @@ def test_lines(spark, docs, empty):
     assert {r.doc_id: r.text for r in op4_lines.dedup_lines(docs).collect()}[200] is None
 
 
+def test_lines_of_a_large_group(spark, monkeypatch):
+    """Long similar lines, and short and long ones that meet, without Python on executors and without all pairs of a group."""
+    r = random.Random(9)
+    base, pairs, own = [[f"g{k}w{i}" for i in range(n)] for k, n in enumerate([40, 64, 66, 150, 300])], [], op4_lines._similar
+    other = lambda k: [x if j % 24 else f"e{r.randrange(10**9)}" for j, x in enumerate(base[k], r.randrange(24))]
+    rows = [" ".join(base[0])] + [" ".join(other(0)) for _ in range(250)] + [" ".join(w) for w in base[1:]] + [" ".join(other(k)[r.randrange(9) :]) for k in (1, 2, 3, 4) * 15]
+    monkeypatch.setattr(op4_lines, "_similar", lambda p, *more: pairs.append(p.count()) or own(p, *more))
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(spark.range(1)), name, None)
+    report = op4_lines.line_report(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    sets = [set(x.split(" ")) for x in rows]
+    want = {i for i, x in enumerate(sets) if any(len(x & y) >= 0.8 * len(x | y) - 1e-9 for y in sets[:i])}
+    assert {x.doc_id for x in report if x.n_similar} == {x.doc_id for x in report if x.n_removed} == want and 250 <= len(want) < len(rows) - 5
+
+
 def test_token_files(spark, docs, empty):
     library = Tokenizer.from_file(op5_token_files.public_tokenizers.path("byte_bpe_50k.json"))
     found = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in op5_token_files.token_index(docs).collect())
