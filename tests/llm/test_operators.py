@@ -148,6 +148,7 @@ def test_lines_of_a_large_group(spark, monkeypatch):
     sets = [set(x.split(" ")) for x in rows]
     want = {i for i, x in enumerate(sets) if any(len(x & y) >= 0.8 * len(x | y) - 1e-9 for y in sets[:i])}
     assert {x.doc_id for x in report if x.n_similar} == {x.doc_id for x in report if x.n_removed} == want and 250 <= len(want) < len(rows) - 5
+    assert sum(pairs) < 8 * len(rows)
 
 
 def test_token_files(spark, docs, empty):
