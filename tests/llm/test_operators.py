@@ -151,6 +151,23 @@ def test_lines_of_a_large_group(spark, monkeypatch):
     assert sum(pairs) < 8 * len(rows)
 
 
+def test_line_sets(spark):
+    """Words are sorted as values that can't be null, marks differ in no more parities than sets in words, and lines are lower-cased one by one as whole texts are."""
+    r = random.Random(3)
+    lines = [" ".join(r.choices(VOCABULARY, k=r.randint(1, 40))) for _ in range(40)] + ["\u039f\u0394\u039f\u03a3 \u03a3", "\u03a3\u03b1 \u0130x \u1e9e", "\u039f\u0394\u039f\u03a3"]
+    docs = spark.createDataFrame([(i, " \n".join(lines[i : i + 3]).title()) for i in range(len(lines))], "key long, text string").withColumn("h", F.xxhash64("text"))
+    sets = op4_lines._sets(docs, op4_lines._levels(docs), 0.8)
+    assert not sets.schema["codes"].dataType.containsNull
+    rows, lowered = sets.collect(), {x.key: x.text.split("\n") for x in docs.select("key", F.lower("text").alias("text")).collect()}
+    words = [set(lowered[x.key][x.place].split(" ")) - {""} for x in rows]
+    bits = lambda x: (x.m1 % (1 << 64)) << 64 | x.m2 % (1 << 64)
+    seen = {}
+    for x, w in zip(rows, words, strict=True):
+        assert x.n == len(w) and (bits(x).bit_count() - x.n) % 2 == 0 and seen.setdefault(frozenset(w), (x.c1, x.c2, x.m1, x.m2)) == (x.c1, x.c2, x.m1, x.m2)
+    assert all((bits(x) ^ bits(y)).bit_count() <= len(v ^ w) for x, v in zip(rows, words, strict=True) for y, w in zip(rows, words, strict=True))
+    assert len({(x.c1, x.c2) for x in rows}) == len(seen)
+
+
 def test_token_files(spark, docs, empty):
     library = Tokenizer.from_file(op5_token_files.public_tokenizers.path("byte_bpe_50k.json"))
     found = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in op5_token_files.token_index(docs).collect())
