@@ -23,6 +23,16 @@ VIDEO_TEXT = "struct<model:string,cosine_similarity:double,caption_replaced:stri
 AUDIO = "struct<silence_ratio:double,rms:double,clipping_ratio:double,audio_quality:double>"
 
 
+#: Most clips of a task that reads media; where there are fewer clips than cores would take, as many tasks as cores.
+CLIPS_OF_TASK = 1000
+
+
+def dealt(clips: DataFrame, count: int) -> DataFrame:
+    """``clips`` spread evenly over tasks, however few files or partitions they come from: what a clip costs is not its row."""
+    tasks = max(-(-count // CLIPS_OF_TASK), clips.sparkSession.sparkContext.defaultParallelism)
+    return clips.repartition(tasks, "clip_idx")
+
+
 def _filled(block: Column, kind: str) -> Column:
     """A block that wasn't measured has its fields, all null."""
     return F.coalesce(block, F.from_json(F.lit("{}"), kind)).cast(kind)
@@ -45,6 +55,8 @@ def run_batch(clips: DataFrame, settings: Settings, backends: Backends) -> DataF
     a record of nulls with the codes unreadable and processing_error.
     """
     policy = settings.technical()
+    count = clips.count()
+    clips = dealt(clips, count)
     if "payload" not in clips.columns:
         clips = probe_clips(clips, settings, backends)
     elif "probe_failed" not in clips.columns:
@@ -61,7 +73,7 @@ def run_batch(clips: DataFrame, settings: Settings, backends: Backends) -> DataF
         "clip_idx", "path", F.col("technical.technical_ok").alias("technical_ok"), p["has_audio"].alias("has_audio"),
         frame_timestamps(p["duration_sec"], settings.frames.count).alias("times"), window["start"].alias("start"), window["length"].alias("length"),
     )
-    facts = written(extract_facts(asked, settings, backends), "facts").withColumnRenamed("clip_idx", "f")
+    facts = written(extract_facts(dealt(asked, count), settings, backends), "facts").withColumnRenamed("clip_idx", "f")
     rows = rows.join(facts, F.col("clip_idx") == F.col("f"), "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
     none = F.from_json(F.lit('{"audio_present":false,"technical_ok":false}'), rows.schema["technical"].dataType)
     rows = rows.withColumns({

@@ -275,3 +275,15 @@ def test_queries_match_sql(spark, name):
     assert sorted(sql.columns) == columns
     expected = sorted((tuple(plain(v) for _, v in sorted(zip(sql.columns, r, strict=True))) for r in sql.fetchall()), key=str)
     assert rows == expected
+
+
+def test_batch_deals_clips_and_counts_copies_once(spark, tmp_path, monkeypatch):
+    from reelsift.plans import batch as plan
+
+    monkeypatch.setattr(plan, "CLIPS_OF_TASK", 20)
+    made = []
+    monkeypatch.setattr(plan, "extract_facts", lambda clips, *a, f=plan.extract_facts: made.append(clips.rdd.getNumPartitions()) or f(clips, *a))
+    monkeypatch.setattr(similarity, "_compared", lambda distinct, *a, f=similarity._compared: made.append(distinct.count()) or f(distinct, *a))
+    spark.read.parquet(f"{SF}/part.parquet").withColumn("p_partkey", F.explode(F.array("p_partkey", F.col("p_partkey") + 5120))).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    rows = queries.batch(spark, str(tmp_path)).select("video_id", "size", "near", "nearest").collect()
+    assert len(rows) == 400 and made[0] == 20 and made[1] <= 200 and sum(r.near for r in rows) > 200
