@@ -202,8 +202,7 @@ def nearest_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _vectors(spark, sf_dir)
-    return _exact(similarities(vectors, 0.42).where("link"), vectors, "a", "b")
+    return similarities(_vectors(spark, sf_dir), 0.42).where("link").select("a", "b", F.round("sim", 4).alias("similarity"))
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -277,6 +277,39 @@ def test_queries_match_sql(spark, name):
     assert rows == expected
 
 
+def _brute(rows, levels):
+    """By definition: nearest other row, links of the least level, and each level's least connected ids, in double precision."""
+    v = {i: np.array(x, np.float32).astype(float) for i, x in rows if x and np.isfinite(x).all()}
+    sims = {(a, b): sum((v[a] * v[b]).tolist()) for a in v for b in v if a != b and len(v[a]) == len(v[b])}
+    near = {a: min((-s, b) for (x, b), s in sims.items() if x == a) for a in {a for a, _ in sims}}
+    roots = []
+    for least in levels:
+        root = {i: i for i, _ in rows}
+        for (a, b), s in sims.items():
+            if s >= least and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if x == high else x for i, x in root.items()}
+        roots.append(root)
+    return {a: (b, -s) for a, (s, b) in near.items()}, {p: s for p, s in sims.items() if p[0] < p[1] and s >= levels[0]}, roots
+
+
+def _odd_vectors():
+    r = np.random.default_rng(4)
+    some = [*np.round(r.normal(size=(12, 3)) * 0.7, 2).tolist(), [0.0, 0.0, 0.0], [0.3, 0.0, 0.0], [1e-20, 0.0, 0.0]]
+    rows = [(3 * k, some[k * k % 15]) for k in range(90)] + [(1, [2.0]), (2, [2.0]), (4, [0.1]), (5, [0.1, 0.2]), (7, None), (8, []), (10, [float("nan"), 0.0, 1.0]), (11, [float("inf"), 1.0, 1.0])]
+    return rows
+
+
+@pytest.mark.parametrize("block", [8, 2048])
+def test_links_and_nearest_of_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    rows = _odd_vectors()
+    near, links, _ = _brute(rows, [0.5])
+    found = similarity.similarities(spark.createDataFrame(rows, "clip_idx long, embedding array<float>").repartition(3), 0.5)
+    assert {(x.a, x.b): round(x.sim, 9) for x in found.where("link").collect()} == {p: round(s, 9) for p, s in links.items()} and found.where("link").count() == len(links)
+    assert {x.clip_idx: (x.nearest_idx, round(x.sim, 9)) for x in similarity.nearest(found).collect()} == {a: (b, round(s, 9)) for a, (b, s) in near.items()}
+
+
 def test_batch_deals_clips_and_counts_copies_once(spark, tmp_path, monkeypatch):
     from reelsift.plans import batch as plan
 
