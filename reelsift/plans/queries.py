@@ -15,7 +15,7 @@ from reelsift.functions import audio, captions, probe
 from reelsift.functions.numbers import band_score, clamp, positive, positive_int, ratio, weighted_mean
 from reelsift.functions.vision import measure_frames
 from reelsift.operators.policy import FilterPolicy, apply_policy, run_summary
-from reelsift.operators.similarity import annotate, cosine, dot, nearest, norm, similarities, unit
+from reelsift.operators.similarity import annotate, cosine, nearest, norm, similarities, unit
 from reelsift.plans.batch import AUDIO, VIDEO_TEXT, VISUAL, VLM, run_batch
 from reelsift.plans.config import settings_from
 from reelsift.sources.clips import clips_only, identified
@@ -188,17 +188,8 @@ def vector_math(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("clip_idx", F.round(norm(F.col("embedding")), 5).alias("norm"), F.round(cosine(F.col("embedding"), F.col("w")), 5).alias("cosine"), F.round(F.get(unit(F.col("w")), F.lit(0)), 5).alias("first"))
 
 
-def _exact(pairs: DataFrame, vectors: DataFrame, a: str, b: str) -> DataFrame:
-    """The pairs with their similarity in double precision."""
-    left = vectors.select(F.col("clip_idx").alias("_a"), F.col("embedding").alias("_x"))
-    right = vectors.select(F.col("clip_idx").alias("_b"), F.col("embedding").alias("_y"))
-    rows = pairs.select(a, b).join(left, F.col(a) == F.col("_a")).join(right, F.col(b) == F.col("_b"))
-    return rows.select(a, b, F.round(dot(F.col("_x"), F.col("_y")), 4).alias("similarity"))
-
-
 def nearest_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _vectors(spark, sf_dir)
-    return _exact(nearest(similarities(vectors, 2.0)), vectors, "clip_idx", "nearest_idx")
+    return nearest(similarities(_vectors(spark, sf_dir), 2.0)).select("clip_idx", "nearest_idx", F.round("sim", 4).alias("similarity"))
 
 
 def similarity_links(spark: SparkSession, sf_dir: str) -> DataFrame:

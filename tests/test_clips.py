@@ -310,6 +310,25 @@ def test_links_and_nearest_of_copies(spark, monkeypatch, block):
     assert {x.clip_idx: (x.nearest_idx, round(x.sim, 9)) for x in similarity.nearest(found).collect()} == {a: (b, round(s, 9)) for a, (b, s) in near.items()}
 
 
+def test_double_precision_decides(spark):
+    # single precision rounds 1 + 2 ** -25 to 1
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 2.0**-25])]
+    found = similarity.similarities(spark.createDataFrame(rows, "clip_idx long, embedding array<float>"), 1 + 2.0**-26)
+    assert {x.clip_idx: x.nearest_idx for x in similarity.nearest(found).collect()} == {0: 2, 1: 0, 2: 0}
+    assert [(x.a, x.b) for x in found.where("link").collect()] == [(0, 2)]
+
+
+def test_pairs_of_tiles_are_tasks(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK", 8)
+    monkeypatch.setattr(similarity, "MOST_BYTES", 0)
+    r = np.random.default_rng(6)
+    rows = [(i, r.normal(size=3).tolist()) for i in range(64)]
+    found = similarity._compared(similarity._distinct(spark.createDataFrame(rows, "clip_idx long, embedding array<float>").coalesce(1))[0].coalesce(1), [9.0], True)
+    assert len(found.inputFiles()) >= 36  # of 8 tiles
+    # no row is in many more results than there are tiles
+    assert found.groupBy("a").count().agg(F.max("count")).first()[0] <= 8
+
+
 def test_batch_deals_clips_and_counts_copies_once(spark, tmp_path, monkeypatch):
     from reelsift.plans import batch as plan
 
