@@ -329,6 +329,37 @@ def test_pairs_of_tiles_are_tasks(spark, monkeypatch):
     assert found.groupBy("a").count().agg(F.max("count")).first()[0] <= 8
 
 
+@pytest.mark.parametrize("block", [8, 2048])
+def test_clusters_of_copies(spark, monkeypatch, block):
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    rows, levels = _odd_vectors(), [0.2, 0.6, 0.9]
+    near, _, (content, cluster, same) = _brute(rows, levels)
+    df = spark.createDataFrame([(i, f"v{i:03}", x) for i, x in rows], "clip_idx long, video_id string, embedding array<float>")
+    out = {r.clip_idx: r for r in annotate(df.repartition(3), 0.6, 0.9, 0.2).collect()}
+    assert sorted(out) == sorted(i for i, _ in rows)
+    for i, x in out.items():
+        size = lambda root: sum(y == root[i] for y in root.values())
+        assert x.content.cluster_size == size(content) and x.content.cluster_id == sorted({*content.values()}).index(content[i])
+        assert x.deduplication.cluster_id == sorted({*cluster.values()}).index(cluster[i])
+        assert x.canonical_id == f"v{same[i]:03}"
+        b, s = near.get(i, (None, None))
+        assert x.deduplication.nearest_video_id == (None if b is None else f"v{b:03}") and x.deduplication.is_near_duplicate == (b is not None and s >= 0.9)
+
+
+def test_parts_are_what_links_connect():
+    r = np.random.default_rng(7)
+    u, v, level = r.integers(0, 300, 260), r.integers(0, 300, 260), r.integers(0, 3, 260)
+    parts = similarity._Parts(300, [0.1, 0.2, 0.3])
+    for k in range(0, 260, 50):
+        parts.add(u[k : k + 50], v[k : k + 50], level[k : k + 50])
+        parts.fold()
+    links = [*parts.links()]
+    assert sum(len(a) for _, a, _ in links) < 300
+    for k in range(3):
+        want, got = (similarity._merged(np.arange(300), *(np.concatenate(x) for x in zip(*pairs, strict=True))) for pairs in ([(u[level >= k], v[level >= k])], [(a, b) for n, a, b in links if n >= k]))
+        assert (want == got).all()
+
+
 def test_batch_deals_clips_and_counts_copies_once(spark, tmp_path, monkeypatch):
     from reelsift.plans import batch as plan
 
